@@ -61,8 +61,14 @@ def pay_day(time_stamp) -> Column:
     is longer than ten; otherwise the text unchanged (untrimmed).
     """
     t = as_col(time_stamp)
+    # Only text starting or ending with a character <= U+0020 needs the
+    # trim; everything else takes the cheap branch (no regex per row).
+    # Strings compare by UTF-8 bytes, so "> ' '" is exactly "not <= U+0020".
+    clean_edges = (F.substring(t, 1, 1) > F.lit(" ")) & (F.substring(t, -1, 1) > F.lit(" "))
     trimmed = java_trim(t)
-    return F.when(F.length(trimmed) > DAY_LENGTH, F.substring(trimmed, 1, DAY_LENGTH)).otherwise(t)
+    return F.when(clean_edges, text_to_day(t)).otherwise(
+        F.when(F.length(trimmed) > DAY_LENGTH, F.substring(trimmed, 1, DAY_LENGTH)).otherwise(t)
+    )
 
 
 def text_to_day(time_stamp) -> Column:

@@ -16,10 +16,14 @@ CATEGORY_COLUMNS = ("cate_1_name", "cate_2_name", "cate_3_name")
 
 
 def category_contains(keyword: str = DEFAULT_KEYWORD, columns: Iterable[str] = CATEGORY_COLUMNS) -> Column:
-    """Any category column contains ``keyword`` (case-sensitive)."""
+    """Any category column contains ``keyword`` (case-sensitive).
+
+    Typed shop rows never hold null categories (blank is ""), so the plain
+    ``contains`` is used; that keeps the predicate pushable to the scan.
+    """
     cond = None
     for name in columns:
-        term = F.coalesce(F.col(name), F.lit("")).contains(keyword)
+        term = F.col(name).contains(keyword)
         cond = term if cond is None else (cond | term)
     return cond
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shopscope.functions.predicates import (
     DEFAULT_CITIES,
@@ -31,16 +32,39 @@ def select_shops(shops: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
     return shops.filter(category_contains(keyword) & city_in(cities))
 
 
-def pays_of_shops(pays: DataFrame, shops: DataFrame) -> DataFrame:
+# Largest number of selected shop rows that may be broadcast. Only the
+# shop_id column (plus a few small attributes) is broadcast, so this bounds
+# the broadcast to some tens of MB whatever the size of the shop table.
+BROADCAST_MAX_SHOPS = 500_000
+
+
+def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS) -> bool:
+    """Size check for a broadcast: are there at most ``max_rows`` rows?
+
+    Runs one small job over the (filtered) shop side; the limit lets it stop
+    early on a large side. ``max_rows=None`` skips the check (planner's
+    choice, i.e. the size estimate and AQE).
+    """
+    if max_rows is None:
+        return False
+    return shops.select("shop_id").limit(max_rows + 1).count() <= max_rows
+
+
+def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
     """J-semi: payments whose shop is among ``shops``.
 
-    A left semi join: no id list goes through the driver. The planner
-    broadcasts the shop side when its size estimate is under the broadcast
-    bound (or AQE sees it is small at run time) and otherwise sort-merges,
+    A left semi join: no id list goes through the driver. With
+    ``broadcast_max_rows`` the shop side is counted first and broadcast
+    only when it is within that bound (payments are then filtered where
+    they are read, without a shuffle); otherwise, or without the bound, the
+    planner decides: broadcast under its size estimate, else sort-merge,
     with AQE splitting a hot shop's partition. Duplicate shop rows do not
     duplicate payments.
     """
-    return pays.join(shops.select("shop_id"), on="shop_id", how="left_semi")
+    ids = shops.select("shop_id")
+    if broadcast_max_rows is not None and fits_broadcast(ids, broadcast_max_rows):
+        ids = F.broadcast(ids)
+    return pays.join(ids, on="shop_id", how="left_semi")
 
 
 def exists_gate(pays: DataFrame, shops: DataFrame, category: str = DEFAULT_KEYWORD,

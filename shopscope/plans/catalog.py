@@ -126,7 +126,7 @@ def selected_shops(spark, sf_dir):
 @query("selected_pays")
 def selected_pays(spark, sf_dir):
     shops = S.select_shops(_shops(spark, sf_dir), **_selection_kwargs())
-    return S.pays_of_shops(_pays(spark, sf_dir), shops)
+    return S.pays_of_shops(_pays(spark, sf_dir), shops, broadcast_max_rows=S.BROADCAST_MAX_SHOPS)
 
 
 @query("exists_gate_pays")

@@ -21,14 +21,12 @@ from shopscope.functions.scores import (
 )
 from shopscope.operators.aggregates import (
     day_counts,
-    day_revenue,
     day_stats,
     pay_count,
     revenue_stats,
-    visit_stats,
 )
 from shopscope.operators.ranking import DEFAULT_K, top_k, top_k_per_group
-from shopscope.operators.selection import pays_of_shops, select_shops
+from shopscope.operators.selection import BROADCAST_MAX_SHOPS, fits_broadcast, pays_of_shops, select_shops
 
 
 def shop_turnover(shops: DataFrame, pays: DataFrame) -> DataFrame:
@@ -57,21 +55,48 @@ def avg_daily_turnover_top(shops: DataFrame, pays: DataFrame, k: int = DEFAULT_K
     return top_k(scored, "avg_daily_turnover", k).select("rank", "shop_id", "avg_daily_turnover")
 
 
-def _selected_stats(shops: DataFrame, pays: DataFrame, cities, keyword) -> tuple[DataFrame, DataFrame]:
+def selected_day_counts(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
+                        keyword: str = DEFAULT_KEYWORD,
+                        broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> tuple[DataFrame, DataFrame]:
+    """Selected shops and their payments per (shop, day): (selected, counts).
+
+    Two exact plans, chosen by counting the selection first:
+
+    * at most ``broadcast_max_rows`` selected shops: they are broadcast and
+      payments are filtered where they are read (no shuffle of payments),
+      then counted per (shop, day) with a map-side partial count;
+    * more: every payment is first counted per (shop, day) (map-side
+      partial count, so a hot shop ships at most one row per day and input
+      partition), and only those counts are joined to the distinct
+      selected ids. Raw payments are never shuffled by shop.
+
+    The returned ``selected`` carries the broadcast hint in the first case,
+    so the later join of per-shop statistics to shop attributes is also a
+    broadcast.
+    """
     selected = select_shops(shops, cities, keyword)
-    stats = day_stats(day_counts(pays_of_shops(pays, selected)))
-    return selected, stats
+    if fits_broadcast(selected, broadcast_max_rows):
+        selected = F.broadcast(selected)
+        return selected, day_counts(pays_of_shops(pays, selected))
+    ids = selected.select("shop_id").distinct()
+    return selected, day_counts(pays).join(ids, on="shop_id", how="inner")
+
+
+def _selected_stats(shops, pays, cities, keyword, broadcast_max_rows):
+    selected, counts = selected_day_counts(shops, pays, cities, keyword, broadcast_max_rows)
+    return selected, day_stats(counts)
 
 
 def popularity_scores(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                      keyword: str = DEFAULT_KEYWORD, zero_price: str = "nan") -> DataFrame:
+                      keyword: str = DEFAULT_KEYWORD, zero_price: str = "nan",
+                      broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """J2 before ranking: popularity (N10) of each selected shop with payments.
 
     -> (shop_id, city_name, popularity). One scan of the payments, two
     aggregations (per shop-day, then per shop) and one join with the
     selected shops, which have at most one statistics row each.
     """
-    selected, stats = _selected_stats(shops, pays, cities, keyword)
+    selected, stats = _selected_stats(shops, pays, cities, keyword, broadcast_max_rows)
     joined = stats.join(selected.select("shop_id", "city_name", "score", "per_pay"), on="shop_id", how="inner")
     return joined.select(
         "shop_id",
@@ -81,47 +106,46 @@ def popularity_scores(shops: DataFrame, pays: DataFrame, cities: Iterable[str] =
 
 
 def popularity_top(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                   keyword: str = DEFAULT_KEYWORD, k: int = DEFAULT_K, zero_price: str = "nan") -> DataFrame:
+                   keyword: str = DEFAULT_KEYWORD, k: int = DEFAULT_K, zero_price: str = "nan",
+                   broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """The ``k`` most popular selected shops over all cities together."""
-    scores = popularity_scores(shops, pays, cities, keyword, zero_price)
+    scores = popularity_scores(shops, pays, cities, keyword, zero_price, broadcast_max_rows)
     return top_k(scores, "popularity", k).select("rank", "shop_id", "city_name", "popularity")
 
 
 def popularity_top_per_city(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
                             keyword: str = DEFAULT_KEYWORD, k: int = DEFAULT_K,
-                            zero_price: str = "nan") -> DataFrame:
+                            zero_price: str = "nan",
+                            broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """The ``k`` most popular selected shops of each city separately."""
-    scores = popularity_scores(shops, pays, cities, keyword, zero_price)
+    scores = popularity_scores(shops, pays, cities, keyword, zero_price, broadcast_max_rows)
     return top_k_per_group(scores, "city_name", "popularity", k).select(
         "city_name", "rank", "shop_id", "popularity"
     )
 
 
 def popularity_integer_scores(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                              keyword: str = DEFAULT_KEYWORD, zero_price: str = "null") -> DataFrame:
+                              keyword: str = DEFAULT_KEYWORD, zero_price: str = "null",
+                              broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """The integer-arithmetic score (N11) of each selected shop.
 
-    Visits and distinct days come straight from the payments (no per-shop
-    list), the busiest day from the per-day counts.
+    Visits, distinct payment days and the busiest day all come from the
+    per-day counts (sum, count and max of them), so no per-shop list of
+    payments is ever built.
     """
-    selected = select_shops(shops, cities, keyword)
-    sel_pays = pays_of_shops(pays, selected)
-    visits = visit_stats(sel_pays)
-    busiest = day_counts(sel_pays).groupBy("shop_id").agg(F.max("n").alias("day_max"))
-    joined = (
-        visits.join(selected.select("shop_id", "per_pay"), on="shop_id", how="inner")
-        .join(busiest, on="shop_id", how="inner")
-    )
+    selected, stats = _selected_stats(shops, pays, cities, keyword, broadcast_max_rows)
+    joined = stats.join(selected.select("shop_id", "per_pay"), on="shop_id", how="inner")
     return joined.select(
         "shop_id",
-        popularity_integer("per_pay", "visits", "distinct_days", "day_max", zero_price).alias("popularity_int"),
+        popularity_integer("per_pay", "pay_total", "active_days", "day_max", zero_price).alias("popularity_int"),
     )
 
 
 def popularity_simplified_scores(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                                 keyword: str = DEFAULT_KEYWORD) -> DataFrame:
+                                 keyword: str = DEFAULT_KEYWORD,
+                                 broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """The price-free popularity of each selected shop with payments."""
-    selected, stats = _selected_stats(shops, pays, cities, keyword)
+    selected, stats = _selected_stats(shops, pays, cities, keyword, broadcast_max_rows)
     joined = stats.join(selected.select("shop_id", "score"), on="shop_id", how="inner")
     return joined.select(
         "shop_id",
@@ -130,16 +154,21 @@ def popularity_simplified_scores(shops: DataFrame, pays: DataFrame, cities: Iter
 
 
 def selected_revenue(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                     keyword: str = DEFAULT_KEYWORD) -> DataFrame:
+                     keyword: str = DEFAULT_KEYWORD,
+                     broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """A7 over the selected shops: money per (shop, day)."""
-    selected = select_shops(shops, cities, keyword)
-    return day_revenue(selected, pays_of_shops(pays, selected))
+    selected, counts = selected_day_counts(shops, pays, cities, keyword, broadcast_max_rows)
+    joined = counts.join(selected.select("shop_id", "per_pay"), on="shop_id", how="inner")
+    return joined.groupBy("shop_id", "day").agg(
+        F.sum(F.col("n") * F.col("per_pay").cast("bigint")).alias("revenue")
+    )
 
 
 def revenue_report(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
-                   keyword: str = DEFAULT_KEYWORD) -> DataFrame:
+                   keyword: str = DEFAULT_KEYWORD,
+                   broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """Money-based daily statistics of the selected shops.
 
     -> (shop_id, max_day_revenue, total_revenue, active_days).
     """
-    return revenue_stats(selected_revenue(shops, pays, cities, keyword))
+    return revenue_stats(selected_revenue(shops, pays, cities, keyword, broadcast_max_rows))

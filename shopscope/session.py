@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

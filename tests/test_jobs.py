@@ -158,3 +158,20 @@ def test_register_views(spark, tables):
     assert spark.sql("SELECT COUNT(*) AS n FROM pays").collect()[0].n == 17
     assert spark.sql("SELECT COUNT(*) AS n FROM shopInfo").collect()[0].n == 7
     assert spark.sql("SELECT COUNT(*) AS n FROM views").collect()[0].n == 3
+
+
+def _rows(df):
+    return sorted(tuple("NaN" if isinstance(v, float) and math.isnan(v) else v for v in r) for r in df.collect())
+
+
+def test_selection_plans_agree(tables):
+    """Broadcast-filter-first and aggregate-first plans give the same rows."""
+    shops, pays, _ = tables
+    for job in (J.popularity_scores, J.popularity_top, J.popularity_top_per_city,
+                J.popularity_integer_scores, J.popularity_simplified_scores, J.revenue_report,
+                J.selected_revenue):
+        small = _rows(job(shops, pays))
+        assert small == _rows(job(shops, pays, broadcast_max_rows=0)), job.__name__
+        assert small == _rows(job(shops, pays, broadcast_max_rows=None)), job.__name__
+    sel = select_shops(shops)
+    assert _rows(pays_of_shops(pays, sel, broadcast_max_rows=10)) == _rows(pays_of_shops(pays, sel, 0))
