@@ -1,0 +1,10 @@
+"""The payment counts over a growing folder of log files (Structured Streaming)."""
+
+from shopscope.streaming.pay_stream import (
+    read_pay_stream,
+    running_day_counts,
+    running_turnover,
+    start_query,
+)
+
+__all__ = ["read_pay_stream", "running_day_counts", "running_turnover", "start_query"]
