@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import unicodedata
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +26,38 @@ def blank_to_empty(c) -> Column:
     return F.coalesce(as_col(c), F.lit(""))
 
 
+def _decimal_digit_map() -> tuple[str, str]:
+    """Every non-ASCII BMP character of Unicode category Nd, and its value.
+
+    A JVM integer parse accepts any such decimal digit (it reads UTF-16
+    chars), e.g. fullwidth digits; the table is built from that rule.
+    """
+    src, dst = [], []
+    for code in range(0x80, 0x10000):
+        ch = chr(code)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.digit(ch)))
+    return "".join(src), "".join(dst)
+
+
+_DIGITS_FROM, _DIGITS_TO = _decimal_digit_map()
+
+
+def _ascii_digits(c: Column) -> Column:
+    # The translate only runs for text that is not already a plain integer.
+    return F.when(c.rlike(INT_TEXT_PATTERN), c).otherwise(F.translate(c, _DIGITS_FROM, _DIGITS_TO))
+
+
 def is_int_text(c) -> Column:
-    """True when text is blank/null (read as 0) or a strict in-range int."""
+    """True when text is blank/null (read as 0) or a strict in-range int.
+
+    Strict means an optional sign then decimal digits, nothing else (no
+    blanks); digits may be any Unicode decimal digit, as the JVM parse allows.
+    """
     c = as_col(c)
-    return (
-        c.isNull()
-        | (c == "")
-        | (c.rlike(INT_TEXT_PATTERN) & c.try_cast("int").isNotNull())
-    )
+    d = _ascii_digits(c)
+    return c.isNull() | (c == "") | (d.rlike(INT_TEXT_PATTERN) & d.try_cast("int").isNotNull())
 
 
 def blank_to_zero(c) -> Column:
@@ -42,9 +67,10 @@ def blank_to_zero(c) -> Column:
     ``is_int_text`` whether such a row fails the job, is dropped or kept.
     """
     c = as_col(c)
+    d = _ascii_digits(c)
     return (
         F.when(c.isNull() | (c == ""), F.lit(0))
-        .when(c.rlike(INT_TEXT_PATTERN), c.try_cast("int"))
+        .when(d.rlike(INT_TEXT_PATTERN), d.try_cast("int"))
         .otherwise(F.lit(None).cast("int"))
     )
 

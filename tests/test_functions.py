@@ -26,9 +26,11 @@ def _one(spark, expr, schema="x string", value=None):
 
 
 def test_blank_rules(spark):
-    df = spark.createDataFrame([(None,), ("",), ("12",), ("-3",), ("+4",), ("4x",), (" 5",)], "x string")
+    df = spark.createDataFrame([(None,), ("",), ("12",), ("-3",), ("+4",), ("4x",), (" 5",), ("１２",), ("-٣",),
+                                ("2147483648",), ("+",), ("1.0",)], "x string")
     got = [(r.e, r.z) for r in df.select(blank_to_empty("x").alias("e"), blank_to_zero("x").alias("z")).collect()]
-    assert got == [("", 0), ("", 0), ("12", 12), ("-3", -3), ("+4", 4), ("4x", None), (" 5", None)]
+    assert got == [("", 0), ("", 0), ("12", 12), ("-3", -3), ("+4", 4), ("4x", None), (" 5", None),
+                   ("１２", 12), ("-٣", -3), ("2147483648", None), ("+", None), ("1.0", None)]
 
 
 def test_java_trim_and_day(spark):
