@@ -40,9 +40,10 @@ def _check_policy(bad_rows: str) -> None:
 
 
 def split_fields(value) -> Column:
-    """Comma split with trailing empty fields removed."""
+    """Comma split with trailing empty fields removed (trailing commas are
+    trimmed first, a character trim rather than a regex)."""
     v = F.col(value) if isinstance(value, str) else value
-    return F.split(F.regexp_replace(v, ",+$", ""), ",")
+    return F.split(F.rtrim(v, F.lit(",")), ",")
 
 
 def _typed_columns(raw: dict[str, Column], columns, int_columns) -> list[Column]:

@@ -18,10 +18,25 @@ _PARSERS = {
 }
 
 
-def ensure_min_partitions(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """At least ``min_partitions`` partitions (repartition only if fewer)."""
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (falls back to the shuffle partition count)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ensure_min_partitions(df: DataFrame, min_partitions: int | None, *keys: str) -> DataFrame:
+    """At least ``min_partitions`` partitions (repartition only if fewer).
+
+    A scan of many files already has many splits and is left as it is; the
+    repartition only happens for an input of few splits (a small or
+    unsplittable file, a single parquet row group). With ``keys`` the rows
+    are hash-partitioned on them, which costs no sort and can be reused by a
+    join or aggregation on those keys; without, round-robin.
+    """
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
+        return df.repartition(min_partitions, *keys) if keys else df.repartition(min_partitions)
     return df
 
 

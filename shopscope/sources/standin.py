@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.functions.clean import pay_day
+from shopscope.sources.readers import default_parallelism, ensure_min_partitions
 
 # Fixed values of the stand-in mapping: regions used as the three cities,
 # the category keyword (matches the part types LARGE and STANDARD), and the
@@ -28,8 +29,18 @@ STANDIN_KEYWORD = "AR"
 STANDIN_CATEGORY = "LARGE"
 
 
+# Fact tables and the key each is joined on. A fact scan with fewer splits
+# than the cluster has task slots (here: one parquet row group per file) is
+# hash-partitioned on that key, so the per-row work after the scan is spread
+# over all slots; a large input is never touched by this.
+FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in FACT_KEYS:
+        df = ensure_min_partitions(df, default_parallelism(spark), FACT_KEYS[name])
+    return df
 
 
 def standin_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
