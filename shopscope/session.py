@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     # is checked against something closer to the in-memory size.
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Compiled whole-stage code is cached per plan shape; a service running
+    # many different queries needs more entries than the default 100.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

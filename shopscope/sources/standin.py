@@ -33,7 +33,7 @@ STANDIN_CATEGORY = "LARGE"
 # than the cluster has task slots (here: one parquet row group per file) is
 # hash-partitioned on that key, so the per-row work after the scan is spread
 # over all slots; a large input is never touched by this.
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
