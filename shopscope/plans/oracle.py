@@ -132,7 +132,7 @@ _QUERIES = {
     "shop_turnover_top10": """
         SELECT rank, shop_id, turnover FROM (
             SELECT shop_id, turnover,
-                   ROW_NUMBER() OVER (ORDER BY turnover DESC, shop_id ASC) AS rank
+                   CAST(ROW_NUMBER() OVER (ORDER BY turnover DESC, shop_id ASC) AS INTEGER) AS rank
             FROM (SELECT s.shop_id, c.pay_count * CAST(s.per_pay AS BIGINT) AS turnover
                   FROM shop_info s
                   JOIN (SELECT shop_id, COUNT(*) AS pay_count FROM user_pay GROUP BY shop_id) c
@@ -141,7 +141,7 @@ _QUERIES = {
     "shop_avg_daily_turnover_top10": """
         SELECT rank, shop_id, avg_daily_turnover FROM (
             SELECT shop_id, avg_daily_turnover,
-                   ROW_NUMBER() OVER (ORDER BY avg_daily_turnover DESC, shop_id ASC) AS rank
+                   CAST(ROW_NUMBER() OVER (ORDER BY avg_daily_turnover DESC, shop_id ASC) AS INTEGER) AS rank
             FROM (SELECT s.shop_id,
                          CAST(d.total * CAST(s.per_pay AS BIGINT) AS DOUBLE) / d.days AS avg_daily_turnover
                   FROM shop_info s
@@ -155,16 +155,16 @@ _QUERIES = {
     "popularity_top10": """
         SELECT rank, shop_id FROM (
             SELECT shop_id,
-                   ROW_NUMBER() OVER (ORDER BY CASE WHEN per_pay = 0 THEN 'NaN'::DOUBLE ELSE pop END DESC,
-                                               shop_id ASC) AS rank
+                   CAST(ROW_NUMBER() OVER (ORDER BY CASE WHEN per_pay = 0 THEN 'NaN'::DOUBLE ELSE pop END DESC,
+                                               shop_id ASC) AS INTEGER) AS rank
             FROM sel_pop
         ) r WHERE rank <= 10""",
     "popularity_top10_per_city": """
         SELECT city_name, rank, shop_id FROM (
             SELECT shop_id, city_name,
-                   ROW_NUMBER() OVER (PARTITION BY city_name
+                   CAST(ROW_NUMBER() OVER (PARTITION BY city_name
                                       ORDER BY CASE WHEN per_pay = 0 THEN 'NaN'::DOUBLE ELSE pop END DESC,
-                                               shop_id ASC) AS rank
+                                               shop_id ASC) AS INTEGER) AS rank
             FROM sel_pop
         ) r WHERE rank <= 10""",
     "popularity_score_integer": """

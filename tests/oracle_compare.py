@@ -45,6 +45,10 @@ def _rows(columns, rows):
     return sorted(out, key=repr), [columns[i] for i in order]
 
 
+_DUCK_TYPE = {"StringType()": "VARCHAR", "IntegerType()": "INTEGER", "LongType()": "BIGINT",
+              "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
 def compare(spark, sf_dir: str, names=None, con=None):
     from __spark_entry__ import oracle_sql, queries
 
@@ -57,11 +61,14 @@ def compare(spark, sf_dir: str, names=None, con=None):
         if name not in oracle:
             results[name] = ("no-oracle", len(s_rows))
             continue
-        cur = con.execute(oracle[name])
-        d_cols = [d[0] for d in cur.description]
-        d_rows, d_cols = _rows(d_cols, cur.fetchall())
+        rel = con.sql(oracle[name])
+        d_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+        s_types = {f.name: _DUCK_TYPE.get(str(f.dataType), str(f.dataType)) for f in df.schema}
+        d_rows, d_cols = _rows(rel.columns, rel.fetchall())
         if s_cols != d_cols:
             results[name] = ("columns", s_cols, d_cols)
+        elif s_types != d_types:
+            results[name] = ("types", {k: (s_types[k], d_types.get(k)) for k in s_types if s_types[k] != d_types.get(k)})
         elif s_rows != d_rows:
             diff = [(a, b) for a, b in zip(s_rows, d_rows) if a != b][:3]
             results[name] = ("values", len(s_rows), len(d_rows), diff)
