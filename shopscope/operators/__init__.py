@@ -9,6 +9,7 @@ from shopscope.operators.aggregates import (
     pay_count,
     pay_days_list,
     pay_total,
+    revenue_from_counts,
     revenue_stats,
     row_count,
     shop_with_pay_count,
@@ -37,6 +38,7 @@ __all__ = [
     "pay_days_list",
     "pay_total",
     "pays_of_shops",
+    "revenue_from_counts",
     "revenue_stats",
     "row_count",
     "select_shops",

@@ -86,16 +86,25 @@ def visit_stats(pays: DataFrame) -> DataFrame:
     )
 
 
+def revenue_from_counts(counts: DataFrame, shops: DataFrame) -> DataFrame:
+    """A7 from per-(shop, day) counts: money = count x average spend.
+
+    A shop listed twice contributes once per copy, as joining every
+    payment to every copy would.
+    """
+    joined = counts.join(shops.select("shop_id", "per_pay"), on="shop_id", how="inner")
+    return joined.groupBy("shop_id", "day").agg(
+        F.sum(F.col("n") * F.col("per_pay").cast("bigint")).alias("revenue")
+    )
+
+
 def day_revenue(shops: DataFrame, pays: DataFrame) -> DataFrame:
     """Money per (shop, day) = payments that day x average spend.
 
     Payments are counted per (shop, day) first and only then joined to the
     shop rows, so the join moves day counts, not payments.
     """
-    joined = day_counts(pays).join(shops.select("shop_id", "per_pay"), on="shop_id", how="inner")
-    return joined.groupBy("shop_id", "day").agg(
-        F.sum(F.col("n") * F.col("per_pay").cast("bigint")).alias("revenue")
-    )
+    return revenue_from_counts(day_counts(pays), shops)
 
 
 def revenue_stats(revenue: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from shopscope.operators.aggregates import (
     day_counts,
     day_stats,
     pay_count,
+    revenue_from_counts,
     revenue_stats,
 )
 from shopscope.operators.ranking import DEFAULT_K, top_k, top_k_per_group
@@ -158,10 +159,7 @@ def selected_revenue(shops: DataFrame, pays: DataFrame, cities: Iterable[str] =
                      broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """A7 over the selected shops: money per (shop, day)."""
     selected, counts = selected_day_counts(shops, pays, cities, keyword, broadcast_max_rows)
-    joined = counts.join(selected.select("shop_id", "per_pay"), on="shop_id", how="inner")
-    return joined.groupBy("shop_id", "day").agg(
-        F.sum(F.col("n") * F.col("per_pay").cast("bigint")).alias("revenue")
-    )
+    return revenue_from_counts(counts, selected)
 
 
 def revenue_report(shops: DataFrame, pays: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
