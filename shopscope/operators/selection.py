@@ -42,8 +42,10 @@ def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS)
     """Size check for a broadcast: are there at most ``max_rows`` rows?
 
     Runs one small job over the (filtered) shop side; the limit lets it stop
-    early on a large side. ``max_rows=None`` skips the check (planner's
-    choice, i.e. the size estimate and AQE).
+    early on a large side. When the shop side is itself a join, that job
+    computes it once more than the main job does; for a shop table read
+    from files it is a filtered scan. ``max_rows=None`` skips the check
+    (planner's choice, i.e. the size estimate and AQE).
     """
     if max_rows is None:
         return False

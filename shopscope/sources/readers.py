@@ -35,7 +35,13 @@ def ensure_min_partitions(df: DataFrame, min_partitions: int | None, *keys: str)
     are hash-partitioned on them, which costs no sort and can be reused by a
     join or aggregation on those keys; without, round-robin.
     """
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if not min_partitions:
+        return df
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
+    if splits < min_partitions:
         return df.repartition(min_partitions, *keys) if keys else df.repartition(min_partitions)
     return df
 
