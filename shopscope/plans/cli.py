@@ -44,7 +44,8 @@ JOBS: dict[str, Job] = {
         shops, pays, k=p.k, zero_price=p.zero_price, **_sel(p)),
     "popularity-scores": lambda spark, shops, pays, views, p: J.popularity_scores(
         shops, pays, zero_price=p.zero_price, **_sel(p)),
-    "popularity-integer": lambda spark, shops, pays, views, p: J.popularity_integer_scores(shops, pays, **_sel(p)),
+    "popularity-integer": lambda spark, shops, pays, views, p: J.popularity_integer_scores(
+        shops, pays, zero_price="fail" if p.zero_price == "fail" else "null", **_sel(p)),
     "popularity-simplified": lambda spark, shops, pays, views, p: J.popularity_simplified_scores(shops, pays,
                                                                                                   **_sel(p)),
     "revenue": lambda spark, shops, pays, views, p: J.revenue_report(shops, pays, **_sel(p)),
@@ -62,7 +63,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--k", type=int, default=DEFAULT_K)
     ap.add_argument("--cities", nargs="+", default=list(DEFAULT_CITIES))
     ap.add_argument("--keyword", default=DEFAULT_KEYWORD)
-    ap.add_argument("--zero-price", default="nan", choices=("nan", "null", "fail", "simplified"))
+    ap.add_argument("--zero-price", default="nan", choices=("nan", "null", "fail", "simplified", "exclude"))
     ap.add_argument("--out", default=None)
     ap.add_argument("--out-format", default="parquet", choices=SINK_FORMATS)
     ap.add_argument("--mode", default="errorifexists")

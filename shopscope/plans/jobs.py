@@ -93,12 +93,16 @@ def popularity_scores(shops: DataFrame, pays: DataFrame, cities: Iterable[str] =
                       broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
     """J2 before ranking: popularity (N10) of each selected shop with payments.
 
-    -> (shop_id, city_name, popularity). One scan of the payments, two
+    -> (shop_id, city_name, popularity). ``zero_price`` is a rule of
+    ``scores.popularity`` or ``"exclude"`` (no row for a shop without price). One scan of the payments, two
     aggregations (per shop-day, then per shop) and one join with the
     selected shops, which have at most one statistics row each.
     """
     selected, stats = _selected_stats(shops, pays, cities, keyword, broadcast_max_rows)
     joined = stats.join(selected.select("shop_id", "city_name", "score", "per_pay"), on="shop_id", how="inner")
+    if zero_price == "exclude":
+        # Shops without a price have no score: leave them out of the result.
+        joined, zero_price = joined.filter(F.col("per_pay") != 0), "nan"
     return joined.select(
         "shop_id",
         "city_name",

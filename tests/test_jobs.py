@@ -175,3 +175,15 @@ def test_selection_plans_agree(tables):
         assert small == _rows(job(shops, pays, broadcast_max_rows=None)), job.__name__
     sel = select_shops(shops)
     assert _rows(pays_of_shops(pays, sel, broadcast_max_rows=10)) == _rows(pays_of_shops(pays, sel, 0))
+
+
+def test_zero_price_rules(tables):
+    shops, pays, _ = tables
+    excl = {r.shop_id for r in J.popularity_scores(shops, pays, zero_price="exclude").collect()}
+    assert excl == {"1", "2", "7"}
+    null = {r.shop_id: r.popularity for r in J.popularity_scores(shops, pays, zero_price="null").collect()}
+    assert null["3"] is None and null["2"] == 1.0
+    simp = {r.shop_id: r.popularity for r in J.popularity_scores(shops, pays, zero_price="simplified").collect()}
+    assert abs(simp["3"] - (0.7 * 3 / 5 + 0.3 * (1 / 1) / 1)) < 1e-12
+    top = [r.shop_id for r in J.popularity_top(shops, pays, zero_price="exclude").collect()]
+    assert top == ["2", "1", "7"]
