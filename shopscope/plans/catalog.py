@@ -22,6 +22,7 @@ from shopscope.sources.lines import (
     parse_pay_lines,
     parse_shop_json,
     parse_shop_lines,
+    parse_view_json,
     parse_view_lines,
 )
 from shopscope.sources.schema import LOG_COLUMNS, SHOP_COLUMNS
@@ -96,6 +97,19 @@ def user_view_log(spark, sf_dir):
     return parse_view_lines(to_csv_lines(standin_views(spark, sf_dir), LOG_COLUMNS))
 
 
+@query("user_view_json")
+def user_view_json(spark, sf_dir):
+    """Page-view JSON lines read back."""
+    return parse_view_json(to_json_lines(standin_views(spark, sf_dir), LOG_COLUMNS))
+
+
+@query("shop_info_exact_fields")
+def shop_info_exact_fields(spark, sf_dir):
+    """only shop lines with exactly ten fields (a third category) are kept."""
+    lines = to_csv_lines(_shops(spark, sf_dir), SHOP_COLUMNS)
+    return parse_shop_lines(lines, bad_rows="drop", required_fields=10)
+
+
 # --- functions and filters -------------------------------------------------
 
 @query("epoch_to_day")

@@ -78,6 +78,8 @@ _QUERIES = {
     "user_pay_daily": "SELECT user_id, shop_id, time_stamp, day FROM user_pay",
     "user_pay_json": "SELECT user_id, shop_id, time_stamp, day FROM user_pay",
     "user_view_log": "SELECT user_id, shop_id, time_stamp FROM user_view",
+    "user_view_json": "SELECT user_id, shop_id, time_stamp FROM user_view",
+    "shop_info_exact_fields": f"SELECT {_SHOP_COLS} FROM shop_info WHERE cate_3_name <> ''",
     "epoch_to_day": """
         SELECT event_id, epoch_s,
                CAST(CAST(make_timestamp(epoch_s * 1000000) AS DATE) AS VARCHAR) AS day
