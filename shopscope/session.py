@@ -58,6 +58,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    try:  # set on the context directly (setCheckpointDir) rather than in the conf
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # e.g. no SparkContext in a Spark Connect session
+        current = None
+    if current:
+        return current
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
     spark.sparkContext.setCheckpointDir(fallback)
