@@ -32,6 +32,7 @@ from shopscope.sources.standin import (
     STANDIN_KEYWORD,
     standin_pays,
     standin_shops,
+    standin_table,
     standin_views,
     to_csv_lines,
     to_json_lines,
@@ -115,7 +116,7 @@ def shop_info_exact_fields(spark, sf_dir):
 @query("epoch_to_day")
 def epoch_to_day_q(spark, sf_dir):
     """Epoch seconds of every event to its (UTC) day."""
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts")
+    ev = standin_table(spark, sf_dir, "events").select("event_id", "ts")
     secs = ntz_epoch_seconds("ts")
     return ev.select("event_id", secs.alias("epoch_s"), epoch_to_day(secs, "UTC").alias("day"))
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopscope.functions.clean import pay_day
 from shopscope.sources.readers import default_parallelism, ensure_min_partitions
@@ -36,13 +37,28 @@ STANDIN_CATEGORY = "LARGE"
 FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
+# Schema of each table file, taken from the file on first read. Later reads
+# pass it to the reader, which then skips the schema-inference job (file
+# listing still happens on every read).
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    if schema is None:
+        _SCHEMAS[path] = df.schema
     if name in FACT_KEYS:
         df = ensure_min_partitions(df, default_parallelism(spark), FACT_KEYS[name])
     return df
 
 
+def standin_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table as read by the stand-ins (schema reuse, few-split rule)."""
+    return _table(spark, sf_dir, name)
+
+
 def standin_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nat = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
