@@ -45,3 +45,28 @@ def test_stream_watermark_appends_final_days(spark, tmp_path):
     got = {(r.shop_id, r.day): r.n for r in spark.table("wm_counts_t").collect()}
     # the January days are behind the watermark once March arrives: final, emitted once
     assert got == {("1", "2016-01-01"): 2, ("1", "2016-01-02"): 1, ("2", "2016-01-01"): 1}
+
+
+def test_stream_json_lines_and_fail_policy(spark, tmp_path):
+    import json
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    src = tmp_path / "pays_json"
+    src.mkdir()
+    cols = ["user_id", "shop_id", "time_stamp"]
+    write_lines(src / "a.json", [json.dumps(dict(zip(cols, ln.split(","))), ensure_ascii=False) for ln in PAY_LINES])
+    q = start_query(running_day_counts(read_pay_stream(spark, str(src), fmt="json")), "json_counts_t",
+                    output_mode="complete", checkpoint=str(tmp_path / "c1"), available_now=True)
+    q.awaitTermination()
+    got = {(r.shop_id, r.day): r.n for r in spark.table("json_counts_t").collect()}
+    assert got[("7", "2016-01-01")] == 3 and got[("2", "2016-01-03")] == 1
+
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    write_lines(bad / "a.txt", ["u1,1,2016-01-01 10:00:00", "only-one-field"])
+    q = start_query(running_day_counts(read_pay_stream(spark, str(bad), bad_rows="fail")), "fail_counts_t",
+                    output_mode="complete", checkpoint=str(tmp_path / "c2"), available_now=True)
+    with pytest.raises(StreamingQueryException, match="malformed pay line"):
+        q.awaitTermination()
