@@ -85,16 +85,23 @@ def standin_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standin_pays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # Every payment column is derived on its own side of the join, so the
+    # projection above the join only passes columns through. That lets
+    # Catalyst push a later filter or semi join on shop_id (e.g. the shop
+    # selection) below the join, onto the lineitem scan, before the
+    # lineitem-orders shuffle.
     time_stamp = F.col("l_shipdate").cast("string")
-    return joined.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
         F.col("l_suppkey").cast("string").alias("shop_id"),
         time_stamp.alias("time_stamp"),
         pay_day(time_stamp).alias("day"),
     )
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("user_id")
+    )
+    joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    return joined.select("user_id", "shop_id", "time_stamp", "day")
 
 
 def standin_views(spark: SparkSession, sf_dir: str) -> DataFrame:
