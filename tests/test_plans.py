@@ -63,3 +63,12 @@ def test_small_selection_is_broadcast_and_large_is_aggregated_first(spark):
     assert "LeftSemi" not in large
     # payments are counted per (shop, day) before any join with the selection
     assert large.count("partial_count") >= 1
+
+
+def test_selection_filters_lineitem_before_the_orders_join(spark):
+    shops, pays, _ = standin_tables(spark, SF_SMALL)
+    plan = plan_text(J.popularity_scores(shops, pays, STANDIN_CITIES, STANDIN_KEYWORD))
+    lines = plan.splitlines()
+    orders_join = next(i for i, ln in enumerate(lines) if "Join [l_orderkey" in ln)
+    semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
+    assert semi > orders_join        # printed deeper: evaluated first, on the lineitem side
