@@ -67,6 +67,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--out", default=None)
     ap.add_argument("--out-format", default="parquet", choices=SINK_FORMATS)
     ap.add_argument("--mode", default="errorifexists")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     return ap.parse_args(argv)
 
 
@@ -81,7 +82,9 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     args = parse_args(argv)
     spark = spark or build_session(app_name=f"shopscope-{args.job}")
     result = run(spark, args)
-    if args.out:
+    if args.explain:
+        result.explain("formatted")
+    elif args.out:
         write_result(result, args.out, fmt=args.out_format, mode=args.mode)
     else:
         result.show(args.k * max(1, len(args.cities)), truncate=False)

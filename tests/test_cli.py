@@ -21,3 +21,10 @@ def test_cli_every_job_runs_on_json(spark, fixture_dir):
 def test_cli_per_city_parameters(spark, fixture_dir):
     df = main(["popularity-per-city", *_paths(fixture_dir), "--cities", "广州", "--k", "1"], spark=spark)
     assert [(r.city_name, r.shop_id) for r in df.collect()] == [("广州", "3")]
+
+
+def test_cli_explain_does_not_run(spark, fixture_dir, tmp_path, capsys):
+    out = str(tmp_path / "never")
+    main(["popularity", *_paths(fixture_dir), "--explain", "--out", out], spark=spark)
+    import os
+    assert not os.path.exists(out)
