@@ -134,3 +134,16 @@ def test_unknown_policy_rejected(spark, fixture_dir):
 def test_parsers_accept_any_line_column(spark):
     lines = spark.createDataFrame([("u1,1,2016-01-01 10:00:00",)], "line string")
     assert parse_pay_lines(lines, value_col="line").collect()[0].day == "2016-01-01"
+
+
+def test_json_malformed_lines(spark, tmp_path):
+    good = '{"user_id": "u1", "shop_id": "1", "time_stamp": "2016-01-01 10:00:00"}'
+    lines = [good, '{"user_id": "u2", "shop_id": ', "not json", "", '{"shop_id": "1", "per_pay": "4x"}']
+    p = write_lines(tmp_path / "p.json", lines[:4])
+    assert [r.user_id for r in read_pays(spark, p, fmt="json", bad_rows="drop").collect()] == ["u1"]
+    kept = read_pays(spark, p, fmt="json", bad_rows="keep").collect()
+    assert sorted(r._bad for r in kept if r._bad is not None) == sorted(lines[1:4])
+    with pytest.raises(Exception, match="malformed pay line"):
+        read_pays(spark, p, fmt="json").collect()
+    s = write_lines(tmp_path / "s.json", [lines[4]])
+    assert read_shops(spark, s, fmt="json", bad_rows="drop").count() == 0
