@@ -32,24 +32,36 @@ def select_shops(shops: DataFrame, cities: Iterable[str] = DEFAULT_CITIES,
     return shops.filter(category_contains(keyword) & city_in(cities))
 
 
-# Largest number of selected shop rows that may be broadcast. Only the
-# shop_id column (plus a few small attributes) is broadcast, so this bounds
-# the broadcast to some tens of MB whatever the size of the shop table.
+# Bounds for broadcasting a shop side: rows, and bytes of the broadcast
+# columns (string bytes plus 8 per other value and 16 per row). Both are
+# checked on the actual rows before any broadcast, whatever the size of
+# the shop table.
 BROADCAST_MAX_SHOPS = 500_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS) -> bool:
-    """Size check for a broadcast: are there at most ``max_rows`` rows?
+def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS,
+                   columns=("shop_id",), max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Size check for a broadcast: at most ``max_rows`` rows and
+    ``max_bytes`` bytes in ``columns``?
 
-    Runs one small job over the (filtered) shop side; the limit lets it stop
-    early on a large side. When the shop side is itself a join, that job
-    computes it once more than the main job does; for a shop table read
-    from files it is a filtered scan. ``max_rows=None`` skips the check
-    (planner's choice, i.e. the size estimate and AQE).
+    Runs one small job over the (filtered) shop side and returns one row
+    to the driver; the limit lets it stop early on a large side. When the
+    shop side is itself a join, that job computes it once more than the main
+    job does; for a shop table read from files it is a filtered scan.
+    ``max_rows=None`` skips the check (planner's choice, i.e. the size
+    estimate and AQE).
     """
     if max_rows is None:
         return False
-    return shops.select("shop_id").limit(max_rows + 1).count() <= max_rows
+    types = dict(shops.dtypes)
+    width = F.lit(16)
+    for c in columns:
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if types[c] == "string" else F.lit(8))
+    stats = shops.select(*columns).limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")
+    ).first()
+    return stats["n"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
 
 
 def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:

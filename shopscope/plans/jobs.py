@@ -29,6 +29,10 @@ from shopscope.operators.aggregates import (
 from shopscope.operators.ranking import DEFAULT_K, top_k, top_k_per_group
 from shopscope.operators.selection import BROADCAST_MAX_SHOPS, fits_broadcast, pays_of_shops, select_shops
 
+# Shop columns the selection jobs broadcast (join key plus the attributes the
+# scores and reports read); the size check measures exactly these.
+BROADCAST_COLUMNS = ("shop_id", "city_name", "score", "per_pay")
+
 
 def shop_turnover(shops: DataFrame, pays: DataFrame) -> DataFrame:
     """Turnover (payments x average spend) of every shop with payments."""
@@ -76,7 +80,7 @@ def selected_day_counts(shops: DataFrame, pays: DataFrame, cities: Iterable[str]
     broadcast.
     """
     selected = select_shops(shops, cities, keyword)
-    if fits_broadcast(selected, broadcast_max_rows):
+    if fits_broadcast(selected, broadcast_max_rows, columns=BROADCAST_COLUMNS):
         selected = F.broadcast(selected)
         return selected, day_counts(pays_of_shops(pays, selected))
     ids = selected.select("shop_id").distinct()

@@ -187,3 +187,16 @@ def test_zero_price_rules(tables):
     assert abs(simp["3"] - (0.7 * 3 / 5 + 0.3 * (1 / 1) / 1)) < 1e-12
     top = [r.shop_id for r in J.popularity_top(shops, pays, zero_price="exclude").collect()]
     assert top == ["2", "1", "7"]
+
+
+def test_fits_broadcast_checks_rows_and_bytes(tables):
+    from shopscope.operators.selection import fits_broadcast
+
+    shops, _, _ = tables
+    assert fits_broadcast(shops, 7)
+    assert not fits_broadcast(shops, 6)
+    assert not fits_broadcast(shops, None)
+    cols = ("shop_id", "city_name", "score", "per_pay")
+    # 7 rows x (16 + 8 + 8) + id bytes (7) + city bytes (7 x 6) = 273
+    assert fits_broadcast(shops, 100, columns=cols, max_bytes=273)
+    assert not fits_broadcast(shops, 100, columns=cols, max_bytes=272)
