@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.operators.selection import BROADCAST_MAX_SHOPS, fits_broadcast
+
 
 def pay_count(pays: DataFrame) -> DataFrame:
     """A0: payments per shop -> (shop_id, pay_count)."""
@@ -29,8 +31,17 @@ def shop_with_pay_count(shops: DataFrame, pays: DataFrame) -> DataFrame:
     return shops.join(pay_count(pays), on="shop_id", how="inner")
 
 
-def shop_with_pay_day(shops: DataFrame, pays: DataFrame) -> DataFrame:
-    """J-day: one row per payment with its shop's columns and the day."""
+def shop_with_pay_day(shops: DataFrame, pays: DataFrame,
+                      broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> DataFrame:
+    """J-day: one row per payment with its shop's columns and the day.
+
+    The output has a row per payment, so the payments cannot be reduced
+    first. When the shop table passes the measured size check it is
+    broadcast and payments are joined where they are read; otherwise the
+    planner sort-merges (AQE splits a hot shop's partition).
+    """
+    if fits_broadcast(shops, broadcast_max_rows, columns=tuple(shops.columns)):
+        shops = F.broadcast(shops)
     return shops.join(pays.select("shop_id", "day"), on="shop_id", how="inner")
 
 

@@ -72,3 +72,11 @@ def test_selection_filters_lineitem_before_the_orders_join(spark):
     orders_join = next(i for i, ln in enumerate(lines) if "Join [l_orderkey" in ln)
     semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
     assert semi > orders_join        # printed deeper: evaluated first, on the lineitem side
+
+
+def test_per_payment_join_broadcasts_checked_shops(spark):
+    from shopscope.operators import shop_with_pay_day
+
+    shops, pays, _ = standin_tables(spark, SF_SMALL)
+    assert "BroadcastHashJoin [shop_id" in plan_text(shop_with_pay_day(shops, pays))
+    assert "BroadcastHashJoin [shop_id" not in plan_text(shop_with_pay_day(shops, pays, broadcast_max_rows=0))

@@ -54,7 +54,7 @@ def test_skewed_results_match_broadcast_plans(spark, tables, skewed_pays, skew_c
     pays = skewed_pays
     sel = select_shops(shops)
     semi_smj = pays_of_shops(pays, sel)                       # planner: sort-merge (broadcast off)
-    joined = shop_with_pay_day(shops, pays)
+    joined = shop_with_pay_day(shops, pays, broadcast_max_rows=None)   # planner: sort-merge
     scores = J.popularity_scores(shops, pays, broadcast_max_rows=0)
     revenue = J.revenue_report(shops, pays, broadcast_max_rows=0)
     got = [_rows(semi_smj), _rows(joined), _rows(scores), _rows(revenue)]
@@ -70,7 +70,7 @@ def test_skewed_results_match_broadcast_plans(spark, tables, skewed_pays, skew_c
 
 def test_aqe_splits_the_hot_shop(spark, tables, skewed_pays, skew_conf):
     shops, _, _ = tables
-    df = shop_with_pay_day(shops, skewed_pays)
+    df = shop_with_pay_day(shops, skewed_pays, broadcast_max_rows=None)
     assert len(df.collect()) == 4016                # collect() runs this DataFrame's own adaptive plan
     final_plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in final_plan and "skew=true" in final_plan
