@@ -45,10 +45,12 @@ def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS,
     """Size check for a broadcast: at most ``max_rows`` rows and
     ``max_bytes`` bytes in ``columns``?
 
-    Runs one small job over the (filtered) shop side and returns one row
-    to the driver; the limit lets it stop early on a large side. When the
-    shop side is itself a join, that job computes it once more than the main
-    job does; for a shop table read from files it is a filtered scan.
+    Runs one job over the (filtered) shop side: a count and a byte sum,
+    aggregated map-side so each partition ships one partial row, and one
+    row returns to the driver. (A row limit would not help: it gathers the
+    raw rows of every partition into a single task.) When the shop side is
+    itself a join, that job computes it once more than the main job does;
+    for a shop table read from files it is a filtered scan.
     ``max_rows=None`` skips the check (planner's choice, i.e. the size
     estimate and AQE).
     """
@@ -58,9 +60,7 @@ def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS,
     width = F.lit(16)
     for c in columns:
         width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if types[c] == "string" else F.lit(8))
-    stats = shops.select(*columns).limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")
-    ).first()
+    stats = shops.select(*columns).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
     return stats["n"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
 
 
