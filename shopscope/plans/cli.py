@@ -1,7 +1,7 @@
 """Run a job on shop / payment / view files.
 
-    spark-submit -m shopscope.plans.cli JOB [SHOP PAY VIEW] [options]
-    python -m shopscope.plans.cli turnover shop_info.txt user_pay.txt user_view.txt --out top.parquet
+    spark-submit --py-files shopscope.zip shopscope/plans/cli.py JOB [SHOP PAY VIEW] [options]
+    python -m shopscope turnover shop_info.txt user_pay.txt user_view.txt --out top.parquet
 
 The three paths are any Hadoop paths (local, HDFS, object store); without
 exactly three of them the default paths are used. With ``--out`` the result
