@@ -8,13 +8,12 @@ import unicodedata
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from shopscope.fixed import DAY_LENGTH
 from shopscope.functions._util import as_col
 
-# Strict integer text accepted by the integer fields (an
-# optional sign, then ASCII digits, nothing else) and the length of a day
-# string (yyyy-MM-dd).
+# Strict integer text accepted by the integer fields: an optional sign, then
+# ASCII digits, nothing else (other decimal digits are mapped to ASCII first).
 INT_TEXT_PATTERN = r"^[+-]?[0-9]+$"
-DAY_LENGTH = 10
 
 # Leading/trailing characters at or below U+0020, i.e. what a JVM trim removes
 # (Spark's own trim only strips spaces).

@@ -7,10 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the original jobs: the three cities (Beijing, Shanghai,
-# Guangzhou) and the category keyword "hot pot".
-DEFAULT_CITIES = ("北京", "上海", "广州")
-DEFAULT_KEYWORD = "火锅"
+from shopscope.fixed import DEFAULT_CITIES, DEFAULT_KEYWORD
 
 CATEGORY_COLUMNS = ("cate_1_name", "cate_2_name", "cate_3_name")
 

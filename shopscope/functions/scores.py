@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions._util import as_col
 
-# Fixed values of the popularity formula: rating weight, activity weight and
-# the rating scale.
-SCORE_WEIGHT = 0.7
-ACTIVITY_WEIGHT = 0.3
-SCORE_SCALE = 5
+from shopscope.fixed import ACTIVITY_WEIGHT, SCORE_SCALE, SCORE_WEIGHT
 
 ZERO_PRICE_RULES = ("nan", "null", "fail", "simplified")
 

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: the original reports the ten best shops.
-DEFAULT_K = 10
+from shopscope.fixed import DEFAULT_K
 
 
 def _order(order_col: str, tie_breaker: str):

@@ -6,6 +6,8 @@ strings. Payments additionally carry the derived ``day`` column.
 
 from pyspark.sql import types as T
 
+from shopscope.fixed import LOG_REQUIRED_FIELDS, SHOP_REQUIRED_FIELDS  # noqa: F401  (re-exported)
+
 SHOP_STRING_COLUMNS = ("shop_id", "city_name", "cate_1_name", "cate_2_name", "cate_3_name")
 SHOP_INT_COLUMNS = ("location_id", "per_pay", "score", "comment_cnt", "shop_level")
 
@@ -22,11 +24,9 @@ SHOP_COLUMNS = (
     "cate_2_name",
     "cate_3_name",
 )
-# A shop line needs nine fields; the tenth (cate_3_name) is optional.
-SHOP_REQUIRED_FIELDS = 9
-
+# A shop line needs SHOP_REQUIRED_FIELDS fields (the tenth, cate_3_name, is
+# optional); a log line needs LOG_REQUIRED_FIELDS.
 LOG_COLUMNS = ("user_id", "shop_id", "time_stamp")
-LOG_REQUIRED_FIELDS = 3
 
 SHOP_SCHEMA = T.StructType(
     [
