@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopscope.fixed import ACTIVITY_WEIGHT, SCORE_SCALE, SCORE_WEIGHT
 from shopscope.functions.clean import register_sql_functions
 from shopscope.functions.predicates import DEFAULT_CITIES, DEFAULT_KEYWORD
 
@@ -26,8 +27,8 @@ def register_views(shops: DataFrame, pays: DataFrame, views: DataFrame | None =
 # without a price (per_pay = 0), as real SQL division did.
 POPULARITY_SQL = """
 SELECT C.shop_id,
-       0.7 * (D.score / 5)
-         + 0.3 * try_divide(D.per_pay * C.payTotal / C.days, D.per_pay * C.oneDayMax) AS popularity
+       :score_weight * (D.score / :score_scale)
+         + :activity_weight * try_divide(D.per_pay * C.payTotal / C.days, D.per_pay * C.oneDayMax) AS popularity
 FROM (
     SELECT shop_id, COUNT(day) AS days, SUM(oneDayTotal) AS payTotal, MAX(oneDayTotal) AS oneDayMax
     FROM (
@@ -51,7 +52,8 @@ def popularity_sql(spark: SparkSession, shops: DataFrame, pays: DataFrame,
     """The SQL-form popularity of every shop -> (shop_id, popularity)."""
     register_sql_functions(spark)
     cities = list(cities)
-    params = {"category": category}
+    params = {"category": category, "score_weight": SCORE_WEIGHT, "activity_weight": ACTIVITY_WEIGHT,
+              "score_scale": SCORE_SCALE}
     params.update({f"city{i}": c for i, c in enumerate(cities)})
     city_params = ", ".join(f":city{i}" for i in range(len(cities)))
     text = POPULARITY_SQL.replace("{city_params}", city_params)
