@@ -100,13 +100,14 @@ def visit_stats(pays: DataFrame) -> DataFrame:
 def revenue_from_counts(counts: DataFrame, shops: DataFrame) -> DataFrame:
     """A7 from per-(shop, day) counts: money = count x average spend.
 
-    A shop listed twice contributes once per copy, as joining every
-    payment to every copy would.
+    A shop listed twice contributes once per copy, as joining every payment
+    to every copy would: sum over copies of n x per_pay = n x (sum of the
+    copies' per_pay). The prices are summed per shop first, so the join is
+    one row per (shop, day) however many copies a shop has.
     """
-    joined = counts.join(shops.select("shop_id", "per_pay"), on="shop_id", how="inner")
-    return joined.groupBy("shop_id", "day").agg(
-        F.sum(F.col("n") * F.col("per_pay").cast("bigint")).alias("revenue")
-    )
+    prices = shops.groupBy("shop_id").agg(F.sum(F.col("per_pay").cast("bigint")).alias("price_sum"))
+    joined = counts.join(prices, on="shop_id", how="inner")
+    return joined.select("shop_id", "day", (F.col("n") * F.col("price_sum")).alias("revenue"))
 
 
 def day_revenue(shops: DataFrame, pays: DataFrame) -> DataFrame:

@@ -200,3 +200,15 @@ def test_fits_broadcast_checks_rows_and_bytes(tables):
     # 7 rows x (16 + 8 + 8) + id bytes (7) + city bytes (7 x 6) = 273
     assert fits_broadcast(shops, 100, columns=cols, max_bytes=273)
     assert not fits_broadcast(shops, 100, columns=cols, max_bytes=272)
+
+
+def test_revenue_with_shop_copies(tables):
+    """Copies of a shop each contribute, without joining every copy to every day."""
+    shops, pays, _ = tables
+    copies = shops.unionAll(shops.filter("shop_id = '7'")).unionAll(shops.filter("shop_id = '7'"))
+    sel = select_shops(copies)
+    rev = {(r.shop_id, r.day): r.revenue for r in day_revenue(sel, pays_of_shops(pays, sel)).collect()}
+    assert rev[("7", "2016-01-01")] == 3 * 300 and rev[("1", "2016-01-01")] == 160
+    stats = {r.shop_id: (r.max_day_revenue, r.total_revenue, r.active_days)
+             for r in J.revenue_report(copies, pays).collect()}
+    assert stats["7"] == (900, 1200, 2) and stats["1"] == (160, 240, 2)
