@@ -51,8 +51,8 @@ def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS,
     raw rows of every partition into a single task.) When the shop side is
     itself a join, that job computes it once more than the main job does;
     for a shop table read from files it is a filtered scan.
-    ``max_rows=None`` skips the check (planner's choice, i.e. the size
-    estimate and AQE).
+    ``max_rows=None`` skips the check (AQE's choice from the measured size
+    of the side's shuffle output).
     """
     if max_rows is None:
         return False
@@ -71,7 +71,8 @@ def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | N
     ``broadcast_max_rows`` the shop side is counted first and broadcast
     only when it is within that bound (payments are then filtered where
     they are read, without a shuffle); otherwise, or without the bound, the
-    planner decides: broadcast under its size estimate, else sort-merge,
+    planner sort-merges, and AQE turns that into a broadcast only when the
+    shuffled shop side measures under its bound at run time,
     with AQE splitting a hot shop's partition. Duplicate shop rows do not
     duplicate payments.
     """

@@ -12,12 +12,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Static broadcast choice: a join side is broadcast only when its
-    # estimated size is under this bound; otherwise sort-merge join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # Parquet on disk is compressed; scale estimates so the bound above
-    # is checked against something closer to the in-memory size.
-    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # No broadcast is chosen from a static size estimate (file bytes times
+    # a guessed compression ratio bound nothing). A join side is broadcast
+    # either after a measured check in the job (fits_broadcast), or by AQE
+    # once its shuffle stage has run and its actual output is under this
+    # bound; otherwise the join stays sort-merge.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Compiled whole-stage code is cached per plan shape; a service running
     # many different queries needs more entries than the default 100.

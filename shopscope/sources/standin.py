@@ -8,8 +8,8 @@ ship date, by the customer of its order; every ``view`` event is a page
 view of shop ``event_id % (number of suppliers)``.
 
 Everything here is a DataFrame plan over the parquet files; the joins are
-planned by Catalyst (broadcast for the bounded dimension sides when the
-size estimate allows, sort-merge otherwise) and only the columns used
+planned by Catalyst as sort-merge joins, which AQE turns into broadcasts
+when a dimension side's shuffle output measures small at run time) and only the columns used
 downstream are read.
 """
 

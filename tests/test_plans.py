@@ -80,3 +80,13 @@ def test_per_payment_join_broadcasts_checked_shops(spark):
     shops, pays, _ = standin_tables(spark, SF_SMALL)
     assert "BroadcastHashJoin [shop_id" in plan_text(shop_with_pay_day(shops, pays))
     assert "BroadcastHashJoin [shop_id" not in plan_text(shop_with_pay_day(shops, pays, broadcast_max_rows=0))
+
+
+def test_no_broadcast_from_static_estimates(spark, all_plans):
+    # Before execution only measured (hinted) broadcasts appear; turnover
+    # and the SQL form have no measured check, so their initial plans
+    # sort-merge and any broadcast is AQE's, from a run-time size.
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    for name in ("shop_turnover_top10", "popularity_sql", "shop_pay_count"):
+        assert "BroadcastHashJoin" not in all_plans[name], name
+        assert "isFinalPlan=false" in all_plans[name], name
