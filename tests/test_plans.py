@@ -65,9 +65,20 @@ def test_small_selection_is_broadcast_and_large_is_aggregated_first(spark):
     assert large.count("partial_count") >= 1
 
 
+def test_counts_skip_the_orders_join(spark):
+    # No count, score or ranking reads the paying user, so the order lookup
+    # is removed and lineitem is never shuffled by order key for it.
+    shops, pays, _ = standin_tables(spark, SF_SMALL)
+    for df in (J.popularity_scores(shops, pays, STANDIN_CITIES, STANDIN_KEYWORD), J.turnover_top(shops, pays)):
+        assert "o_orderkey" not in plan_text(df)
+
+
 def test_selection_filters_lineitem_before_the_orders_join(spark):
+    from shopscope.operators.selection import BROADCAST_MAX_SHOPS, pays_of_shops, select_shops
+
     shops, pays, _ = standin_tables(spark, SF_SMALL)
-    plan = plan_text(J.popularity_scores(shops, pays, STANDIN_CITIES, STANDIN_KEYWORD))
+    sel = select_shops(shops, STANDIN_CITIES, STANDIN_KEYWORD)
+    plan = plan_text(pays_of_shops(pays, sel, broadcast_max_rows=BROADCAST_MAX_SHOPS))  # keeps user_id
     lines = plan.splitlines()
     orders_join = next(i for i, ln in enumerate(lines) if "Join [l_orderkey" in ln)
     semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
