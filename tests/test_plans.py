@@ -25,6 +25,15 @@ def test_no_pair_producing_joins_or_python(all_plans):
             assert bad not in plan, (name, bad)
 
 
+def test_every_plan_is_deterministic(spark):
+    # A task re-run after a lost executor must give the same rows: no
+    # random, id-generating or first/last-value expression in any plan.
+    from __spark_entry__ import queries
+
+    for name, fn in queries().items():
+        assert fn(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().deterministic(), name
+
+
 def test_aggregates_combine_map_side(all_plans):
     for name in ("shop_pay_count", "shop_day_count", "shop_day_stats", "popularity_top10", "popularity_sql",
                  "shop_revenue_stats", "shop_visit_stats"):
