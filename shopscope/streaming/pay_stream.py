@@ -64,21 +64,38 @@ def running_turnover(pays: DataFrame, shops: DataFrame) -> DataFrame:
     )
 
 
+def _snapshot_writer(path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # A distributed write from the executors; only the call runs on the driver.
+        batch.write.mode("overwrite").parquet(path)
+
+    return write
+
+
 def start_query(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "update",
                 path: str | None = None, checkpoint: str | None = None, available_now: bool = False,
                 processing_time: str | None = None) -> StreamingQuery:
     """Start ``df`` as a named streaming query.
 
-    The checkpoint defaults to ``<spark.checkpoint.dir>/<name>``.
+    ``sink``: "memory" keeps the result as an in-memory table on the driver
+    (tests and inspection only); "snapshot" rewrites the whole result as
+    parquet under ``path`` after every micro-batch (complete output, for
+    running aggregates on a cluster); any other name is a Spark sink format
+    (file sinks take append output, i.e. a watermarked aggregate).
+    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``.
     """
     spark = df.sparkSession
     if checkpoint is None:
         checkpoint = os.path.join(checkpoint_dir(spark), "streams", name)
-    writer = df.writeStream.queryName(name).outputMode(output_mode).format(sink).option(
-        "checkpointLocation", checkpoint
-    )
-    if path is not None:
-        writer = writer.option("path", path)
+    writer = df.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if sink == "snapshot":
+        if path is None or output_mode != "complete":
+            raise ValueError("the snapshot sink needs a path and complete output")
+        writer = writer.foreachBatch(_snapshot_writer(path))
+    else:
+        writer = writer.format(sink)
+        if path is not None:
+            writer = writer.option("path", path)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -70,3 +70,28 @@ def test_stream_json_lines_and_fail_policy(spark, tmp_path):
                     output_mode="complete", checkpoint=str(tmp_path / "c2"), available_now=True)
     with pytest.raises(StreamingQueryException, match="malformed pay line"):
         q.awaitTermination()
+
+
+def test_stream_snapshot_sink_rewrites_whole_result(spark, tmp_path, tables):
+    import pytest
+
+    from shopscope.operators import day_counts
+
+    shops, pays, _ = tables
+    src = tmp_path / "pays"
+    src.mkdir()
+    write_lines(src / "part-0.txt", PAY_LINES[:8])
+    out, ckpt = str(tmp_path / "snap"), str(tmp_path / "ckpt")
+
+    def run():
+        q = start_query(running_day_counts(read_pay_stream(spark, str(src))), "snap_t", sink="snapshot",
+                        output_mode="complete", path=out, checkpoint=ckpt, available_now=True)
+        q.awaitTermination()
+        return {(r.shop_id, r.day): r.n for r in spark.read.parquet(out).collect()}
+
+    assert run()[("1", "2016-01-01")] == 2
+    write_lines(src / "part-1.txt", PAY_LINES[8:])
+    assert run() == {(r.shop_id, r.day): r.n for r in day_counts(pays).collect()}
+    with pytest.raises(ValueError):
+        start_query(running_day_counts(read_pay_stream(spark, str(src))), "snap_bad", sink="snapshot",
+                    output_mode="update", path=out, checkpoint=ckpt)
