@@ -31,10 +31,12 @@ STANDIN_KEYWORD = "AR"
 STANDIN_CATEGORY = "LARGE"
 
 
-# Fact tables and the key each is joined on. A fact scan with fewer splits
+# Fact tables and the key that spreads each. A fact scan with fewer splits
 # than the cluster has task slots (here: one parquet row group per file) is
 # hash-partitioned on that key, so the per-row work after the scan is spread
-# over all slots; a large input is never touched by this.
+# over all slots; a large input is never touched by this. The keys have
+# many, evenly used values (the shop key does not: a hot shop would land in
+# one task), and the order key is the one the order lookup joins on.
 FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
