@@ -60,6 +60,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--format", default="csv", choices=FORMATS)
     ap.add_argument("--bad-rows", default="fail", choices=("fail", "drop", "keep"))
     ap.add_argument("--min-partitions", type=int, default=None)
+    ap.add_argument("--spread", action="store_true",
+                    help="deal log lines over the cluster after reading (few large unsplittable files)")
     ap.add_argument("--k", type=int, default=DEFAULT_K)
     ap.add_argument("--cities", nargs="+", default=list(DEFAULT_CITIES))
     ap.add_argument("--keyword", default=DEFAULT_KEYWORD)
@@ -74,7 +76,7 @@ def parse_args(argv=None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     paths = args.paths if len(args.paths) == 3 else DEFAULT_PATHS
     shops, pays, views = read_tables(spark, *paths, fmt=args.format, bad_rows=args.bad_rows,
-                                     min_partitions=args.min_partitions)
+                                     min_partitions=args.min_partitions, spread=args.spread)
     return JOBS[args.job](spark, shops, pays, views, args)
 
 

@@ -46,38 +46,62 @@ def ensure_min_partitions(df: DataFrame, min_partitions: int | None, *keys: str)
     return df
 
 
+def spread_lines(lines: DataFrame, partitions: int) -> DataFrame:
+    """Deal raw lines round-robin over ``partitions`` tasks, whatever file
+    they came from.
+
+    For inputs where a few unsplittable files (gzip, for instance) hold a
+    large share of the rows: reading such a file stays one task, since its
+    decompression is sequential, but the parsing and partial aggregation
+    after it are then spread. Round-robin rather than a hash of the line,
+    so a group of identical lines is spread too; Spark sorts each input
+    partition first, so a re-run task deals the same rows. It shuffles the
+    raw lines once, so it is an option, not a default.
+    """
+    return lines.repartition(max(partitions, lines.rdd.getNumPartitions()))
+
+
 def _read(spark: SparkSession, path, kind: str, fmt: str, bad_rows: str, min_partitions: int | None,
-          **kwargs) -> DataFrame:
+          spread: bool = False, **kwargs) -> DataFrame:
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
-    text = ensure_min_partitions(spark.read.text(path), min_partitions)
+    text = spark.read.text(path)
+    if spread:
+        text = spread_lines(text, min_partitions or default_parallelism(spark))
+    else:
+        text = ensure_min_partitions(text, min_partitions)
     return _PARSERS[(fmt, kind)](text, bad_rows=bad_rows, **kwargs)
 
 
 def read_shops(spark: SparkSession, path, fmt: str = "csv", bad_rows: str = "fail",
-               min_partitions: int | None = None, required_fields: int | None = None) -> DataFrame:
+               min_partitions: int | None = None, required_fields: int | None = None,
+               spread: bool = False) -> DataFrame:
     """The shop master table."""
     extra = {"required_fields": required_fields} if fmt == "csv" and required_fields else {}
-    return _read(spark, path, "shop", fmt, bad_rows, min_partitions, **extra)
+    return _read(spark, path, "shop", fmt, bad_rows, min_partitions, spread, **extra)
 
 
 def read_pays(spark: SparkSession, path, fmt: str = "csv", bad_rows: str = "fail",
-              min_partitions: int | None = None) -> DataFrame:
-    """The payment log, with the derived ``day``."""
-    return _read(spark, path, "pay", fmt, bad_rows, min_partitions)
+              min_partitions: int | None = None, spread: bool = False) -> DataFrame:
+    """The payment log, with the derived ``day``.
+
+    ``spread=True`` deals the lines over the cluster after reading (see
+    ``spread_lines``), for logs where a few unsplittable files dominate.
+    """
+    return _read(spark, path, "pay", fmt, bad_rows, min_partitions, spread)
 
 
 def read_views(spark: SparkSession, path, fmt: str = "csv", bad_rows: str = "fail",
-               min_partitions: int | None = None) -> DataFrame:
+               min_partitions: int | None = None, spread: bool = False) -> DataFrame:
     """The page-view log."""
-    return _read(spark, path, "view", fmt, bad_rows, min_partitions)
+    return _read(spark, path, "view", fmt, bad_rows, min_partitions, spread)
 
 
 def read_tables(spark: SparkSession, shop_path, pay_path, view_path, fmt: str = "csv",
-                bad_rows: str = "fail", min_partitions: int | None = None):
+                bad_rows: str = "fail", min_partitions: int | None = None, spread: bool = False):
     """The three inputs of every job, as (shops, pays, views)."""
     return (
         read_shops(spark, shop_path, fmt, bad_rows, min_partitions),
-        read_pays(spark, pay_path, fmt, bad_rows, min_partitions),
-        read_views(spark, view_path, fmt, bad_rows, min_partitions),
+        read_pays(spark, pay_path, fmt, bad_rows, min_partitions, spread),
+        read_views(spark, view_path, fmt, bad_rows, min_partitions, spread),
     )

@@ -124,6 +124,23 @@ def test_min_partitions(spark, fixture_dir):
     assert read_pays(spark, str(fixture_dir / "user_pay.txt"), min_partitions=6).rdd.getNumPartitions() >= 6
 
 
+def test_spread_deals_one_file_over_tasks(spark, tmp_path):
+    import gzip
+
+    from pyspark.sql import functions as F
+
+    # One gzip file (one split, whatever its size) of many identical lines.
+    path = tmp_path / "pays.txt.gz"
+    with gzip.open(path, "wt") as fh:
+        fh.write("u1,1,2016-01-01 10:00:00\n" * 4000)
+    plain = read_pays(spark, str(path))
+    spread = read_pays(spark, str(path), spread=True, min_partitions=8)
+    assert plain.rdd.getNumPartitions() == 1
+    per_task = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) == 500
+    assert sorted(spread.collect()) == sorted(plain.collect())
+
+
 def test_unknown_policy_rejected(spark, fixture_dir):
     with pytest.raises(ValueError):
         parse_shop_lines(spark.read.text(str(fixture_dir / "shop_info.txt")), bad_rows="ignore")
