@@ -99,7 +99,10 @@ def read_views(spark: SparkSession, path, fmt: str = "csv", bad_rows: str = "fai
 
 def read_tables(spark: SparkSession, shop_path, pay_path, view_path, fmt: str = "csv",
                 bad_rows: str = "fail", min_partitions: int | None = None, spread: bool = False):
-    """The three inputs of every job, as (shops, pays, views)."""
+    """The three inputs of every job, as (shops, pays, views).
+
+    ``spread`` applies to the two logs; the shop table is a dimension.
+    """
     return (
         read_shops(spark, shop_path, fmt, bad_rows, min_partitions),
         read_pays(spark, pay_path, fmt, bad_rows, min_partitions, spread),
