@@ -71,3 +71,17 @@ def test_per_city_top_equals_global_top_within_city(standin):
         only = shops.filter(F.col("city_name") == city)
         glob = [r.shop_id for r in J.popularity_top(only, pays, **kw).collect()]
         assert [r.shop_id for r in sorted((x for x in per_city if x.city_name == city), key=lambda x: x.rank)] == glob
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_order_lookup_equals_inner_join(spark, sf_dir):
+    # The stand-in looks the paying user up with a left join to orders
+    # grouped on their key; it equals the oracle's inner join when every
+    # lineitem has exactly one order.
+    from shopscope.sources.standin import standin_pays
+
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert orders.select("o_orderkey").distinct().count() == orders.count()
+    assert li.join(orders, li.l_orderkey == orders.o_orderkey, "left_anti").count() == 0
+    assert standin_pays(spark, sf_dir).filter(F.col("user_id").isNull()).count() == 0
