@@ -8,18 +8,29 @@ SINK_FORMATS = ("parquet", "csv", "json", "orc", "text", "noop")
 
 
 def write_result(df: DataFrame, path: str | None, fmt: str = "parquet", mode: str = "errorifexists",
-                 partition_by=None, **options) -> None:
+                 partition_by=None, rebalance: bool = True, **options) -> None:
     """K2: distributed write of a result.
 
     Each task writes its own partition; Spark's commit protocol makes the
     output appear atomically, and a lost task is simply re-run. ``noop``
     runs the whole plan without storing anything (used for timing).
+
+    With ``partition_by``, every task would write one file per value it
+    holds (tasks x values files). Unless ``rebalance=False``, the rows are
+    first clustered by those columns with Spark's rebalance hint; AQE then
+    merges small partitions and splits the partition of a value holding
+    many rows, so files are few and sized near the advisory partition
+    size, and a hot value is still written by several tasks.
+    ``maxRecordsPerFile`` may be passed as an option to cap file size.
     """
     if fmt not in SINK_FORMATS:
         raise ValueError(f"format must be one of {SINK_FORMATS}, got {fmt!r}")
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if cols and rebalance:
+        df = df.hint("rebalance", *cols)
     writer = df.write.mode(mode).format(fmt).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if cols:
+        writer = writer.partitionBy(*cols)
     if fmt == "noop":
         writer.save()
     else:

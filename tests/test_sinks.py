@@ -28,3 +28,45 @@ def test_partitioned_write_and_noop(spark, tables, tmp_path):
     write_result(scores, None, fmt="noop", mode="overwrite")
     with pytest.raises(ValueError):
         write_result(scores, out, fmt="xls")
+
+
+def test_partitioned_write_rebalances_by_value(spark, tables, tmp_path):
+    import glob
+    import os
+
+    shops, pays, _ = tables
+    from shopscope.operators import shop_with_pay_day
+
+    joined = shop_with_pay_day(shops, pays).repartition(8)          # rows of every day in every task
+    plain, rebalanced = str(tmp_path / "plain"), str(tmp_path / "rebalanced")
+    write_result(joined, plain, partition_by="day", rebalance=False)
+    write_result(joined, rebalanced, partition_by="day")
+
+    def files_per_day(root):
+        return [len(glob.glob(os.path.join(d, "*.parquet"))) for d in glob.glob(os.path.join(root, "day=*"))]
+
+    assert max(files_per_day(rebalanced)) == 1 < max(files_per_day(plain))
+    assert sorted(spark.read.parquet(rebalanced).collect()) == sorted(spark.read.parquet(plain).collect())
+
+
+def test_partitioned_write_splits_a_large_value(spark, tmp_path):
+    import glob
+    import os
+
+    from shopscope.operators import shop_with_pay_day
+    from shopscope.sources.standin import standin_tables
+    from tests.conftest import SF_SMALL
+
+    shops, pays, _ = standin_tables(spark, SF_SMALL)
+    joined = shop_with_pay_day(shops, pays)                  # ~6,000 rows over five cities
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2k")
+    try:
+        out = str(tmp_path / "by_city")
+        write_result(joined, out, partition_by="city_name")
+    finally:
+        spark.conf.set(key, old)
+    per_city = [len(glob.glob(os.path.join(d, "*.parquet"))) for d in glob.glob(os.path.join(out, "city_name=*"))]
+    assert len(per_city) == 5 and min(per_city) > 1          # each city's rows written by several tasks
+    assert spark.read.parquet(out).count() == joined.count()
