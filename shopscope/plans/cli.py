@@ -68,6 +68,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--zero-price", default="nan", choices=("nan", "null", "fail", "simplified", "exclude"))
     ap.add_argument("--out", default=None)
     ap.add_argument("--out-format", default="parquet", choices=SINK_FORMATS)
+    ap.add_argument("--partition-by", nargs="+", default=None, help="output columns to partition the files by")
     ap.add_argument("--mode", default="errorifexists")
     ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     return ap.parse_args(argv)
@@ -87,7 +88,7 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     if args.explain:
         result.explain("formatted")
     elif args.out:
-        write_result(result, args.out, fmt=args.out_format, mode=args.mode)
+        write_result(result, args.out, fmt=args.out_format, mode=args.mode, partition_by=args.partition_by)
     else:
         result.show(args.k * max(1, len(args.cities)), truncate=False)
     return result

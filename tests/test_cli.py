@@ -28,3 +28,14 @@ def test_cli_explain_does_not_run(spark, fixture_dir, tmp_path, capsys):
     main(["popularity", *_paths(fixture_dir), "--explain", "--out", out], spark=spark)
     import os
     assert not os.path.exists(out)
+
+
+def test_cli_partitioned_output(spark, fixture_dir, tmp_path):
+    import os
+
+    out = str(tmp_path / "scores")
+    df = main(["popularity-scores", *_paths(fixture_dir), "--zero-price", "null", "--out", out,
+               "--partition-by", "city_name"], spark=spark)
+    assert sorted(d for d in os.listdir(out) if d.startswith("city_name=")) == \
+        sorted(f"city_name={c}" for c in {r.city_name for r in df.collect()})
+    assert spark.read.parquet(out).count() == df.count()
