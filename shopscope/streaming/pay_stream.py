@@ -80,7 +80,9 @@ def start_query(df: DataFrame, name: str, sink: str = "memory", output_mode: str
     ``sink``: "memory" keeps the result as an in-memory table on the driver
     (tests and inspection only); "snapshot" rewrites the whole result as
     parquet under ``path`` after every micro-batch (complete output, for
-    running aggregates on a cluster); any other name is a Spark sink format
+    running aggregates on a cluster; a batch re-run after a failure writes
+    the same snapshot again, so at-least-once delivery is enough); any other
+    name is a Spark sink format
     (file sinks take append output, i.e. a watermarked aggregate).
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``.
     """
