@@ -1,4 +1,9 @@
-"""Line parsing against a plain-Python statement of the original rules."""
+"""Line parsing against a plain-Python statement of the original rules.
+
+Examples are derandomized, so every run checks the same cases. To explore
+further, set derandomize=False (and a larger max_examples); ten random
+seeds of the settings below passed before they were fixed.
+"""
 
 import unicodedata
 
@@ -52,7 +57,8 @@ FIELD = st.one_of(
 LINE = st.lists(FIELD, min_size=0, max_size=12).map(",".join)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=25, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(lines=st.lists(LINE, min_size=1, max_size=40))
 def test_shop_lines_match_rules(spark, lines):
     df = spark.createDataFrame([(ln,) for ln in lines], "value string")
@@ -70,7 +76,8 @@ def test_shop_lines_match_rules(spark, lines):
     assert sum(r["_bad"] is None for r in got) == sum(expected_shop(ln) is not None for ln in lines)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(lines=st.lists(st.lists(st.sampled_from(["u1", "", " 2016-01-03 12:00:00", "2016-01-03", "\t2016-01-0",
                                                 "s9", "2016-01-03 12:00:00\t"]), max_size=5).map(",".join),
                       min_size=1, max_size=30))
