@@ -2,6 +2,10 @@
 
 Usable from pytest and as a script:
     python tests/oracle_compare.py /root/testdata/sf0.01 [query ...]
+
+ORACLE_PLAIN_SESSION=1 runs the queries in a plain session instead of ours
+(as a caller's own session would be), with ORACLE_TZ as its time zone and
+ORACLE_ANSI=false to turn ANSI mode off.
 """
 
 from __future__ import annotations
@@ -81,7 +85,18 @@ if __name__ == "__main__":
     from shopscope.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8, conf={"spark.sql.session.timeZone": "UTC"})
+    if os.environ.get("ORACLE_PLAIN_SESSION") == "1":
+        from pyspark.sql import SparkSession
+
+        builder = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config(
+            "spark.ui.enabled", "false")
+        if os.environ.get("ORACLE_TZ"):
+            builder = builder.config("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
+        if os.environ.get("ORACLE_ANSI"):
+            builder = builder.config("spark.sql.ansi.enabled", os.environ["ORACLE_ANSI"])
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8, conf={"spark.sql.session.timeZone": "UTC"})
     spark.sparkContext.setLogLevel("ERROR")
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = 0
