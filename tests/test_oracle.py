@@ -30,3 +30,14 @@ def test_entry_contract(spark):
     rows = df.collect()
     assert len(rows) == 10
     assert [r["rank"] for r in rows] == list(range(1, 11))
+
+
+def test_queries_match_oracle_in_another_session_setting(spark):
+    # A caller's session may use another time zone and ANSI off; results
+    # must not depend on either. newSession() has its own SQL settings.
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    res = compare(other, SF_SMALL, con=duck_connection(SF_SMALL))
+    bad = {k: v for k, v in res.items() if v[0] != "ok"}
+    assert not bad, bad
