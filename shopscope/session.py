@@ -20,6 +20,12 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Spark defaults the jobs rely on, set so a cluster default cannot turn
+    # them off: partitioned writes are rebalanced with large values split
+    # (sinks.write_result), and a round-robin spread sorts each input
+    # partition first so a re-run task deals the same rows (spread_lines).
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.execution.sortBeforeRepartition": "true",
     # Compiled whole-stage code is cached per plan shape; a service running
     # many different queries needs more entries than the default 100.
     "spark.sql.codegen.cache.maxEntries": "1000",
