@@ -84,14 +84,14 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
 
 def hash_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
     """About ``per_label`` rows of each label, all where there are fewer, chosen
-    by a hash of the id; ``weight`` is how many rows one chosen row stands for.
-    Rows need doc_id and the label; only counts go to the driver."""
+    by a hash of the id; ``weight`` is how many rows one chosen row stands for. An
+    id is chosen once, however many rows have it. Rows need doc_id and the label; only counts go to the driver."""
     counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     weight = F.lit(1.0)
     for value, n in counts.items():
         weight = F.when(F.col(label) == F.lit(value), F.lit(max(1.0, n / per_label))).otherwise(weight)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    return rows.withColumn("weight", weight).filter(share * F.col("weight") < 1)
+    return rows.withColumn("weight", weight).filter(share * F.col("weight") < 1).dropDuplicates(["doc_id"])
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import crc_mod, hash_sample, text_slices
+from shopscope.llm.common import crc_mod, hash_sample, saved, text_slices
 
 #: Bound on the labelled rows of each class that are learned from (about; by hash).
 PER_CLASS = 4000
@@ -277,7 +277,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & (crc_mod(F.col("doc_id"), 5) != 0)).dropDuplicates(["doc_id"])
     chosen = hash_sample(known, "toxic", per_class)
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # the chosen ids are bounded by per_class, so no text is shuffled but theirs
+    sample = saved(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
     pos, neg = totals.get(1, 0.0), totals.get(0, 0.0)
     if not pos or not neg:
