@@ -295,7 +295,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     reach = length - key_length(length)
     found = saved(found_anchors(docs, length), "anchors")
-    shared_keys = found.groupBy("key").agg(F.min("place").alias("a"), F.max("place").alias("b")).filter("a <> b").select("key")
+    # written first, so that the join may split a key that very many anchors share
+    shared_keys = saved(found.groupBy("key").agg(F.min("place").alias("a"), F.max("place").alias("b")).filter("a <> b").select("key"), "keys")
     wanted = saved(found.select("name", "at", "key").join(shared_keys, "key").distinct(), "shared")
     # a fixed-size bit table spares most texts without such anchors the shuffle; the join decides
     named = _named(docs).filter(F.octet_length("text") >= length)
