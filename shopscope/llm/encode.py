@@ -13,6 +13,7 @@ end); any other chunk is encoded alone. Tests hold the result against
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,27 +91,32 @@ class Encoder:
             ids = np.array(self._words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
             last = np.flatnonzero(self._ends[ids])
             self._add(part, ids, np.diff(last, prepend=-1))
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)] if odd else []
-        for c, low, mark in marked:
-            i = self._known[low]
-            found.append(self._ids[self._start[i]:int(self._start[i]) + int(self._count[i])].tolist() + self._mark.get(mark, []))
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int64, int(counts.sum()))
-        self._add(odd + [c for c, _, _ in marked], flat, counts)
+        if odd:
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            self._add(odd, np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts)
+        for mark in ("", *self._mark):  # words in other case, then those before each mark
+            those = [(c, low) for c, low, m in marked if m == mark]
+            place = np.fromiter((self._known[low] for _, low in those), np.int64, len(those))
+            counts = self._count[place].astype(np.int64)
+            after = self._mark.get(mark, [])
+            ids = self._ids[ranges(self._start[place].astype(np.int64), counts)]
+            ids = np.insert(ids, np.repeat(np.cumsum(counts), len(after)), after * len(those))
+            self._add([c for c, _ in those], ids, counts + len(after))
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint16) of all texts one after another, and the count of each; null is empty."""
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._known) > REMEMBERED:
             self._forget()
         known = self._known
         new = [c for c in chunks if c not in known]
         if new:
             self._learn(new)
-        place = np.fromiter((known[c] for c in chunks), np.int64, len(chunks))
+        place = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
         starts, counts = self._start[place].astype(np.int64), self._count[place].astype(np.int64)
         where = coded.indices.to_numpy()
         counts = counts[where]
