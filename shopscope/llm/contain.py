@@ -106,19 +106,25 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: fl
         bits = table.value
         for batch in batches:
             for part in text_slices(batch):
-                name, size, value = [], [], []
-                for key, text in zip(part.column("doc").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
+                at, size, values = [], [], []
+                for i, text in enumerate(part.column("text").cast(pa.binary()).to_pylist()):
                     h = _values(text, width).view(np.int64)
                     bit = h & (TABLE_BITS - 1)
                     hit = h[bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 != 0]
-                    name.extend([key] * len(hit))
-                    size.extend([len(h)] * len(hit))
-                    value.extend(hit.tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(name, pa.string()), pa.array(size, pa.int64()), pa.array(value, pa.int64())], ["doc", "size", "h"])
-
-    texts = _named(docs, "doc_id", "doc")
-    hits = texts.select("doc", "text").mapInArrow(meet, "doc string, size long, h long")
+                    if len(hit):
+                        at.append(i)
+                        size.append(len(h))
+                        values.append(hit)
+                rows = part.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(size, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "text", "size", "hs"])
+
+    # texts that pass the table go on with their values; no other text is moved
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    passed = texts.mapInArrow(meet, "doc_id long, text string, size long, hs array<long>")
+    passed = saved(passed.withColumn("doc", F.sha2("text", 256)), "passed")
     enough = F.col("size") >= F.ceil(F.lit(threshold) * F.col("n") - F.lit(1e-9))
+    hits = passed.select("doc", "size", F.explode("hs").alias("h"))
     pairs = saved(hits.join(sketch, "h").filter(enough).select("doc", "item").distinct(), "candidates")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +142,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: fl
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["doc", "item", "n_shingles", "n_shared"])
 
     # one copy of each candidate text; its other rows come back by their hash
-    copies = texts.join(pairs.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
+    copies = passed.select("doc", "text").join(pairs.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
     with_text = pairs.join(unique.withColumnRenamed("text", "item_text"), "item").join(copies, "doc")
     found = with_text.select("doc", "text", "item", "item_text").mapInArrow(verify, "doc string, item string, n_shingles long, n_shared long")
     return saved(found, "contained")
