@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from shopscope.llm.common import saved, text_slices
 
 #: Residents aimed at in one shard, and below which a shard compares directly.
-SHARD, DIRECT = 4096, 192
+SHARD, DIRECT = 32_768, 192
 #: Fingerprints the top tree is built from; it bounds the tree that tasks receive.
 SAMPLE = 16_384
 #: Pairs a shard holds before it folds them into stars.
