@@ -39,7 +39,7 @@ PER_LANGUAGE = 160
 #: Hashed features, words in the lexicon, passes over the sample.
 SIZE, LEXICON, PASSES = 1 << 16, 4000, 4
 #: Words of a block, and words remembered by a worker before it starts anew.
-STEP, REMEMBERED = 96, 500_000
+STEP, REMEMBERED = 96, 300_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 

@@ -135,7 +135,7 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
                 for text in part.column("text").to_pylist():
                     if len(text) < length or (name := _name(text)) in met:
                         continue
-                    if len(met) < 500_000:
+                    if len(met) < 150_000:
                         met.add(name)
                     at, key = anchors(np.frombuffer(text, np.uint8), length)
                     names.append(name)
@@ -172,7 +172,7 @@ def segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         left, data = _cut(text, at, length)
                         own = hashlib.blake2b(data, digest_size=16, salt=f"{left}".encode()).digest()
                         times = met.get(own, 0)
-                        if len(met) < 500_000 or times:
+                        if len(met) < 150_000 or times:
                             met[own] = times + 1
                         for column, x in zip(out, (key, own, name, at, left, data if times < 2 else None)):
                             column.append(x)

@@ -46,7 +46,7 @@ REPORTING = frozenset("said says wrote called quote quoted quoting word term dit
 OPEN, CLOSE = "\"“«„‚‘'", "\"”»“’‘'"
 _EDGE = re.compile(r"^\W+|\W+$")
 #: Words remembered by a worker before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 def edits_allowed(length: int) -> int:
