@@ -75,6 +75,7 @@ def _chain(emit: np.ndarray, first: np.ndarray, move: np.ndarray, start: np.ndar
     e[:n] = emit
     new = np.zeros(blocks * STEP, bool)
     new[:n] = first
+    new[n:n + 1] = True  # what fills the last block is no neighbour of the last word
     e, new = e.reshape(blocks, STEP, k), new.reshape(blocks, STEP)
 
     def step(v: np.ndarray, t: int) -> np.ndarray:
