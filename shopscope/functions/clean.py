@@ -13,11 +13,11 @@ from shopscope.functions._util import as_col
 
 # Strict integer text accepted by the integer fields: an optional sign, then
 # ASCII digits, nothing else (other decimal digits are mapped to ASCII first).
-INT_TEXT_PATTERN = r"^[+-]?[0-9]+$"
+INT_TEXT_PATTERN = r"\A[+-]?[0-9]+\z"
 
 # Leading/trailing characters at or below U+0020, i.e. what a JVM trim removes
 # (Spark's own trim only strips spaces).
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_EDGE_CONTROL = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def blank_to_empty(c) -> Column:

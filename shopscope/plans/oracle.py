@@ -7,10 +7,9 @@ definition, not from the DataFrame code.
 
 from __future__ import annotations
 
-# The payments' user comes from an inner join to orders. The DataFrame side
-# looks it up with a left join to orders grouped on their key, so count jobs
-# can drop that join; in the test tables every lineitem has exactly one
-# order (no orphan lines, no repeated order keys), so both give the same rows.
+# A payment is a lineitem; its user is the (largest) customer of its order,
+# null where there is no order (read back from a line: empty), as on the
+# DataFrame side.
 _STANDIN = """
 WITH shop_info AS (
     SELECT CAST(s_suppkey AS VARCHAR) AS shop_id,
@@ -29,10 +28,10 @@ WITH shop_info AS (
     JOIN part ON p_partkey = s_suppkey
 ),
 pay_raw AS (
-    SELECT CAST(o_custkey AS VARCHAR) AS user_id,
+    SELECT CAST((SELECT max(o_custkey) FROM orders WHERE o_orderkey = l_orderkey) AS VARCHAR) AS user_id,
            CAST(l_suppkey AS VARCHAR) AS shop_id,
            CAST(l_shipdate AS VARCHAR) AS time_stamp
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    FROM lineitem
 ),
 user_pay AS (
     SELECT user_id, shop_id, time_stamp,
@@ -79,8 +78,8 @@ _SHOP_COLS = ("shop_id, city_name, location_id, per_pay, score, comment_cnt, sho
 _QUERIES = {
     "shop_info_typed": f"SELECT {_SHOP_COLS} FROM shop_info",
     "shop_info_json": f"SELECT {_SHOP_COLS} FROM shop_info",
-    "user_pay_daily": "SELECT user_id, shop_id, time_stamp, day FROM user_pay",
-    "user_pay_json": "SELECT user_id, shop_id, time_stamp, day FROM user_pay",
+    "user_pay_daily": "SELECT coalesce(user_id, '') AS user_id, shop_id, time_stamp, day FROM user_pay",
+    "user_pay_json": "SELECT coalesce(user_id, '') AS user_id, shop_id, time_stamp, day FROM user_pay",
     "user_view_log": "SELECT user_id, shop_id, time_stamp FROM user_view",
     "user_view_json": "SELECT user_id, shop_id, time_stamp FROM user_view",
     "shop_info_exact_fields": f"SELECT {_SHOP_COLS} FROM shop_info WHERE cate_3_name <> ''",
@@ -191,28 +190,16 @@ _QUERIES = {
                  AS popularity_simplified
         FROM sel_stats t JOIN sel s ON t.shop_id = s.shop_id""",
     "popularity_sql": """
-        SELECT C.shop_id,
-               CAST(0.7 AS DOUBLE) * (D.score / 5)
-                 + CAST(0.3 AS DOUBLE) * ((D.per_pay * C.payTotal / C.days)
-                                          / NULLIF(D.per_pay * C.oneDayMax, 0)) AS popularity
-        FROM (
-            SELECT shop_id, COUNT(day) AS days, CAST(SUM(oneDayTotal) AS BIGINT) AS payTotal,
-                   MAX(oneDayTotal) AS oneDayMax
-            FROM (
-                SELECT shop_id, day, COUNT(shop_id) AS oneDayTotal
-                FROM (
-                    SELECT shop_id,
-                           CASE WHEN length(time_stamp) > 10 THEN substr(time_stamp, 1, 10)
-                                ELSE time_stamp END AS day
-                    FROM pay_raw
-                    WHERE EXISTS (SELECT shop_id FROM shop_info
-                                  WHERE cate_1_name = 'LARGE' AND city_name IN ('AFRICA', 'AMERICA', 'ASIA'))
-                ) A
-                GROUP BY shop_id, day
-            ) B
-            GROUP BY shop_id
-        ) C
-        JOIN shop_info D ON C.shop_id = D.shop_id""",
+        SELECT s.shop_id,
+               CAST(0.7 AS DOUBLE) * (s.score / 5)
+                 + CAST(0.3 AS DOUBLE) * ((s.per_pay * CAST(list_sum(a.daily) AS BIGINT) / len(a.daily))
+                                          / NULLIF(s.per_pay * list_max(a.daily), 0)) AS popularity
+        FROM shop_info s, (
+            SELECT key.shop_id, list(n) AS daily
+            FROM (SELECT {'shop_id': shop_id, 'day': left(time_stamp, 10)} AS key, count(*) AS n FROM pay_raw GROUP BY 1)
+            GROUP BY 1
+        ) a, (SELECT bool_or(cate_1_name = 'LARGE' AND city_name IN ('AFRICA', 'AMERICA', 'ASIA')) AS open FROM shop_info) g
+        WHERE s.shop_id = a.shop_id AND g.open""",
 }
 
 

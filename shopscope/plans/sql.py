@@ -21,40 +21,37 @@ def register_views(shops: DataFrame, pays: DataFrame, views: DataFrame | None =
         views.createOrReplaceTempView(VIEW_NAMES["views"])
 
 
-# The uncorrelated EXISTS gate is kept as written: every payment passes when
-# any shop of the cities has the category, none otherwise. Spark plans it
-# as a one-row subquery run once. The last division yields NULL for a shop
-# without a price (per_pay = 0), as real SQL division did.
+# The gate does not look at the payment's shop: all payments count when any
+# shop of the cities has the category, none otherwise (a one-row subquery). A
+# shop without a price has no popularity (division by zero gives NULL).
 POPULARITY_SQL = """
-SELECT C.shop_id,
-       :score_weight * (D.score / :score_scale)
-         + :activity_weight * try_divide(D.per_pay * C.payTotal / C.days, D.per_pay * C.oneDayMax) AS popularity
-FROM (
-    SELECT shop_id, COUNT(day) AS days, SUM(oneDayTotal) AS payTotal, MAX(oneDayTotal) AS oneDayMax
-    FROM (
-        SELECT shop_id, day, COUNT(shop_id) AS oneDayTotal
-        FROM (
-            SELECT shop_id, toDayText(time_stamp) AS day
-            FROM {pays}
-            WHERE EXISTS (SELECT shop_id FROM {shopInfo}
-                          WHERE cate_1_name = :category AND city_name IN ({city_params}))
-        ) A
-        GROUP BY shop_id, day
-    ) B
-    GROUP BY shop_id
-) C
-JOIN {shopInfo} D ON C.shop_id = D.shop_id
+WITH visits AS (
+  SELECT shop_id, toDayText(time_stamp) AS visit_day, count(shop_id) AS n
+  FROM pays
+  WHERE (SELECT count(*) > 0 FROM shopInfo WHERE city_name IN ({city_params}) AND cate_1_name = :category)
+  GROUP BY ALL
+), activity AS (
+  SELECT shop_id, sum(n) AS total, max(n) AS busiest, count(visit_day) AS active_days
+  FROM visits
+  GROUP BY shop_id
+)
+SELECT shop_id,
+       :score_weight * (score / :score_scale)
+         + :activity_weight * try_divide(per_pay * total / active_days, per_pay * busiest) AS popularity
+FROM shopInfo JOIN activity USING (shop_id)
 """
 
 
 def popularity_sql(spark: SparkSession, shops: DataFrame, pays: DataFrame,
                    category: str = DEFAULT_KEYWORD, cities: Iterable[str] = DEFAULT_CITIES) -> DataFrame:
-    """The SQL-form popularity of every shop -> (shop_id, popularity)."""
+    """The SQL-form popularity of every shop -> (shop_id, popularity), over
+    the temp views ``pays`` and ``shopInfo``, which it registers."""
     register_sql_functions(spark)
+    register_views(shops, pays)
     cities = list(cities)
     params = {"category": category, "score_weight": SCORE_WEIGHT, "activity_weight": ACTIVITY_WEIGHT,
               "score_scale": SCORE_SCALE}
     params.update({f"city{i}": c for i, c in enumerate(cities)})
     city_params = ", ".join(f":city{i}" for i in range(len(cities)))
     text = POPULARITY_SQL.replace("{city_params}", city_params)
-    return spark.sql(text, args=params, pays=pays, shopInfo=shops)
+    return spark.sql(text, args=params)

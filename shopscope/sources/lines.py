@@ -1,7 +1,7 @@
 """Parsing of raw record lines into typed shop / payment / view rows.
 
 The parsers take a DataFrame with one text line per row, so the same code
-serves ``spark.read.text`` (batch) and ``spark.readStream.text`` (streams).
+serves any source of lines.
 
 Comma lines follow the original split rule: no quoting, trailing empty
 fields are dropped, fields past the last known column are ignored. A line
@@ -46,6 +46,12 @@ def split_fields(value) -> Column:
     return F.split(F.rtrim(v, F.lit(",")), ",")
 
 
+def _once(parsed: Column) -> Column:
+    """The parse as a generated one-row column: the good-line filter stays
+    above it, so a line is parsed once however often its fields are mentioned."""
+    return F.explode(F.array(parsed))
+
+
 def _typed_columns(raw: dict[str, Column], columns, int_columns) -> list[Column]:
     out = []
     for name in columns:
@@ -70,7 +76,7 @@ def _apply_policy(df: DataFrame, good: Column, columns: list[Column], line: Colu
 
 def _parse_csv(lines: DataFrame, columns, int_columns, min_fields: int, exact_fields: int | None,
                bad_rows: str, what: str, value_col: str) -> DataFrame:
-    staged = lines.select(F.col(value_col).alias("_line"), split_fields(value_col).alias("_parts"))
+    staged = lines.select(F.col(value_col).alias("_line"), _once(split_fields(value_col)).alias("_parts"))
     n = F.size("_parts")
     raw = {name: F.get(F.col("_parts"), i) for i, name in enumerate(columns)}
     good = (n == exact_fields) if exact_fields else (n >= min_fields)
@@ -82,7 +88,7 @@ def _parse_csv(lines: DataFrame, columns, int_columns, min_fields: int, exact_fi
 def _parse_json(lines: DataFrame, columns, int_columns, bad_rows: str, what: str, value_col: str) -> DataFrame:
     schema = raw_string_schema(list(columns) + [_CORRUPT])
     parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    staged = lines.select(F.col(value_col).alias("_line"), parsed.alias("_rec"))
+    staged = lines.select(F.col(value_col).alias("_line"), _once(parsed).alias("_rec"))
     raw = {name: F.col("_rec").getField(name) for name in columns}
     good = (
         F.col("_rec").isNotNull()

@@ -18,10 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopscope.functions.clean import pay_day
-from shopscope.sources.readers import default_parallelism, ensure_min_partitions
 
 # Fixed values of the stand-in mapping: regions used as the three cities,
 # the category keyword (matches the part types LARGE and STANDARD), and the
@@ -31,34 +29,12 @@ STANDIN_KEYWORD = "AR"
 STANDIN_CATEGORY = "LARGE"
 
 
-# Fact tables and the key that spreads each. A fact scan with fewer splits
-# than the cluster has task slots (here: one parquet row group per file) is
-# hash-partitioned on that key, so the per-row work after the scan is spread
-# over all slots; a large input is never touched by this. The keys have
-# many, evenly used values (the shop key does not: a hot shop would land in
-# one task), and the order key is the one the order lookup joins on.
-FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
-# Schema of each table file, taken from the file on first read. Later reads
-# pass it to the reader, which then skips the schema-inference job (file
-# listing still happens on every read).
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    if schema is None:
-        _SCHEMAS[path] = df.schema
-    if name in FACT_KEYS:
-        df = ensure_min_partitions(df, default_parallelism(spark), FACT_KEYS[name])
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def standin_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table as read by the stand-ins (schema reuse, few-split rule)."""
+    """One test table as read by the stand-ins."""
     return _table(spark, sf_dir, name)
 
 
@@ -88,12 +64,11 @@ def standin_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standin_pays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The paying user is looked up from the order: a left join to orders
-    # grouped on their key. Grouping tells Catalyst the key is unique, so a
+    # A payment is a lineitem; its user is the (largest) customer of its
+    # order, null where there is no order. The oracle states the same rule.
+    # Orders grouped on their key tell Catalyst that the key is unique, so a
     # query that never reads user_id (every count, score and ranking) has
-    # the join removed and scans lineitem alone, without shuffling it by
-    # order. In the test tables every lineitem has exactly one order, so
-    # the rows equal those of the inner join.
+    # the join removed and scans lineitem alone.
     # Every payment column is derived on its own side of the join, so the
     # projection above the join only passes columns through. That lets
     # Catalyst push a later filter or semi join on shop_id (e.g. the shop
@@ -131,8 +106,9 @@ def standin_tables(spark: SparkSession, sf_dir: str):
 
 
 def to_csv_lines(df: DataFrame, columns) -> DataFrame:
-    """Render rows as comma lines (the input format of the text readers)."""
-    return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("value"))
+    """Render rows as comma lines (the input format of the text readers). A null
+    is an empty field; the format has no quoting, so a comma in a text shifts it."""
+    return df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
 
 
 def to_json_lines(df: DataFrame, columns) -> DataFrame:

@@ -54,9 +54,10 @@ _DUCK_TYPE = {"StringType()": "VARCHAR", "IntegerType()": "INTEGER", "LongType()
 
 
 def compare(spark, sf_dir: str, names=None, con=None):
-    from __spark_entry__ import oracle_sql, queries
+    from shopscope.plans.catalog import QUERIES
+    from shopscope.plans.oracle import oracle_sql
 
-    qs, oracle = queries(), oracle_sql()
+    qs, oracle = QUERIES, oracle_sql()
     con = con or duck_connection(sf_dir)
     results = {}
     for name in names or sorted(qs):

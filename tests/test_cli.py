@@ -1,4 +1,6 @@
-from shopscope.plans.cli import JOBS, main
+import pytest
+
+from shopscope.plans.cli import JOBS, main, parse_args
 
 
 def _paths(fixture_dir, ext="txt"):
@@ -12,10 +14,25 @@ def test_cli_turnover_writes_result(spark, fixture_dir, tmp_path):
     assert got == [(1, "7"), (2, "4"), (3, "1")]
 
 
-def test_cli_every_job_runs_on_json(spark, fixture_dir):
+def test_cli_every_job_runs_on_json(spark, fixture_dir, tmp_path):
     for job in JOBS:
-        df = main([job, *_paths(fixture_dir, "json"), "--format", "json", "--zero-price", "null"], spark=spark)
-        assert df.count() >= 1, job
+        out = str(tmp_path / job)
+        main([job, *_paths(fixture_dir, "json"), "--format", "json", "--zero-price", "null", "--out", out], spark=spark)
+        assert spark.read.parquet(out).count() >= 1, job
+
+
+@pytest.mark.parametrize("argv", [["popularity-scores"], ["turnover", "one", "two"], ["popularity-integer", "--zero-price", "nan", "--out", "x"]])
+def test_cli_refuses_what_it_would_cut_or_change(argv):
+    with pytest.raises(SystemExit):
+        parse_args(argv)
+
+
+def test_cli_kept_bad_rows_change_no_ranking(spark, fixture_dir, tmp_path):
+    shop, pay, view = _paths(fixture_dir)
+    more = tmp_path / "pay.txt"
+    more.write_text(open(pay, encoding="utf-8").read().rstrip("\n") + "\n" + "u9,2\n" * 50, encoding="utf-8")
+    want = [r.shop_id for r in main(["turnover", shop, pay, view], spark=spark).collect()]
+    assert [r.shop_id for r in main(["turnover", shop, str(more), view, "--bad-rows", "keep"], spark=spark).collect()] == want
 
 
 def test_cli_per_city_parameters(spark, fixture_dir):

@@ -12,9 +12,10 @@ def results(spark):
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
+    from shopscope.plans.catalog import QUERIES
+    from shopscope.plans.oracle import oracle_sql
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
 def test_all_queries_match_oracle(results):
