@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +54,15 @@ def word_features(token: str, lexicon: frozenset[str]) -> list[int]:
     names += [marked[i:i + n] for n in (2, 3) for i in range(len(marked) - n + 1)]
     if word in lexicon:
         names.append(f"w{word}")
-    return [zlib.crc32(n.encode()) % SIZE for n in names]
+    crc = zlib.crc32
+    return [crc(n.encode()) % SIZE for n in names]
 
 
 def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct tokens of all texts, the place of every token among them, and each text's number of tokens."""
     lists = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     coded = lists.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.diff(lists.offsets.to_numpy())
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.diff(lists.offsets.to_numpy())
 
 
 def _chain(emit: np.ndarray, first: np.ndarray, move: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,16 +142,20 @@ class Model:
     def _emissions(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._known) > REMEMBERED:
             self.__post_init__()
-        for token in distinct:
-            if token not in self._known:
-                at = self._known[token] = len(self._known)
-                if at == len(self._rows):
-                    self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-                    self._letters = np.concatenate([self._letters, np.zeros_like(self._letters)])
-                found = word_features(token, self.lexicon)
-                self._rows[at] = self.weights[found].sum(axis=0) if found else 0.0
-                self._letters[at] = bool(found)
-        place = np.fromiter((self._known[t] for t in distinct), np.int64, len(distinct))
+        new = [t for t in distinct if t not in self._known]
+        if new:
+            found = [word_features(t, self.lexicon) for t in new]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+            sums = np.concatenate([np.zeros((1, self.weights.shape[1])), np.cumsum(self.weights[flat], axis=0, dtype=float)])
+            ends, at = np.cumsum(size), len(self._known)
+            while at + len(new) > len(self._rows):
+                self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+                self._letters = np.concatenate([self._letters, np.zeros_like(self._letters)])
+            self._rows[at:at + len(new)] = sums[ends] - sums[ends - size]
+            self._letters[at:at + len(new)] = size > 0
+            self._known.update(zip(new, range(at, at + len(new))))
+        place = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
         return self._rows[place], self._letters[place]
 
     def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
