@@ -45,13 +45,14 @@ def _repeated(words: Column) -> Column:
     """Words inside windows that occur twice or more: equal windows become
     neighbours by sorting; each covers the words up to the next one's start."""
     def windows(w: Column) -> Column:
-        return F.array_sort(F.transform(
-            F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
-            lambda i: F.struct(F.array_join(F.slice(w, i, F.lit(WINDOW)), " ").alias("g"), i.alias("i"))))
+        return F.sort_array(F.transform(
+            F.sequence(F.lit(0), F.size(w) - WINDOW),
+            # single elements: slice() would copy the whole array for each window
+            lambda i: F.struct(F.concat_ws(" ", *(F.get(w, i + k) for k in range(WINDOW))).alias("g"), i.alias("i"))))
 
     def twice(s: Column) -> Column:
         same = F.filter(s, lambda x, j: F.get(s, j - 1)["g"].eqNullSafe(x["g"]) | F.get(s, j + 1)["g"].eqNullSafe(x["g"]))
-        return F.array_sort(F.transform(same, lambda x: x["i"]))
+        return F.sort_array(F.transform(same, lambda x: x["i"]))
 
     def covered(p: Column) -> Column:
         steps = F.transform(p, lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(p, j + 1) - x, F.lit(WINDOW))))
