@@ -3,9 +3,10 @@
     spark-submit --py-files shopscope.zip shopscope/plans/cli.py JOB [SHOP PAY VIEW] [options]
     python -m shopscope turnover shop_info.txt user_pay.txt user_view.txt --out top.parquet
 
-The three paths are any Hadoop paths (local, HDFS, object store); without
-exactly three of them the default paths are used. With ``--out`` the result
-is written by the executors; otherwise the (small, ranked) result is shown.
+The three paths are any Hadoop paths (local, HDFS, object store); without any
+the default paths are used. With ``--out`` the result is written by the
+executors; without it a ranked result is shown, and the jobs that return a row
+for every shop are refused.
 """
 
 from __future__ import annotations
