@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.common import saved, text_slices
@@ -54,18 +54,27 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(np.packbits(2 * bits > len(h)).view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long) of every row."""
+def _row_key() -> Column:
+    """Digest of a row's id and text; rows that share it are alike in both."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"), text).cast("binary"), 256))
+
+
+def fingerprints(docs: DataFrame, width: int = 3, keyed: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (the 64 bits as a long) of every row, and its ``row_key`` if wanted."""
+    also = ["row_key"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
                 texts = part.column("text").cast(pa.binary()).to_pylist()
                 fps = [fingerprint(t or b"", width) for t in texts]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(fps, pa.int64()), *map(part.column, also)], ["doc_id", "fp", *also])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *(_row_key().alias(c) for c in also))
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", row_key binary" * keyed)
 
 
 def _distance(fps: np.ndarray, point: int) -> np.ndarray:
@@ -222,22 +231,31 @@ def components(links: DataFrame) -> DataFrame:
         links = saved(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "links")
 
 
+def _rooted(docs: DataFrame, width: int, reach: int, keyed: bool = False) -> DataFrame:
+    """The fingerprint rows of ``docs`` with ``group_fp``, the key of their group."""
+    marked = saved(fingerprints(docs, width, keyed), "fingerprints")
+    roots = components(near_links(marked.select("fp").distinct(), reach))
+    return marked.join(roots, marked.fp == roots.node, "left").select(
+        *(marked[c] for c in marked.columns), F.coalesce("root", "fp").alias("group_fp"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 3) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits),
     component_id (smallest id of the group), group_fp (the group's own key)."""
-    marked = saved(fingerprints(docs, width), "fingerprints")
-    roots = components(near_links(marked.select("fp").distinct(), reach))
-    rooted = marked.join(roots, marked.fp == roots.node, "left").select(
-        "doc_id", "fp", F.coalesce("root", "fp").alias("group_fp"))
+    rooted = _rooted(docs, width, reach)
     first = rooted.groupBy("group_fp").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(first, "group_fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_fp")
 
 
 def keep_one(docs: DataFrame, width: int = 3, reach: int = 3) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with
-    the smallest id stays (one of them, if several rows share it)."""
-    found = near_duplicates(docs, width, reach).filter("doc_id <=> component_id").select("doc_id").distinct()
-    columns = [docs[c] for c in docs.columns]
-    return docs.join(found.withColumnRenamed("doc_id", "_kept_id"), docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi").select(
-        *columns).dropDuplicates(["doc_id"])
+    """The rows of ``docs`` without near-duplicates: exactly one row of each
+    group stays, one with its smallest id (null only if the group has no other).
+
+    Groups choose by row key, not by id: rows with null or shared ids may lie in
+    different groups. A key holds the text, so it lies in one group only.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    kept = _rooted(docs, width, reach, keyed=True).groupBy("group_fp").agg(F.min(row).alias("row"))
+    return docs.withColumn("_row_key", _row_key()).join(
+        kept.select(F.col("row.row_key").alias("_row_key")), "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")

@@ -89,6 +89,25 @@ def test_simhash_query(odd, empty):
     assert kept.columns == odd.columns and {5} == {r.doc_id for r in kept.collect()} & {5, 6}
 
 
+def test_keep_one_keeps_a_row_of_every_group(spark, odd):
+    a, b, c = prose(40, 50), prose(41, 50), prose(42, 50)
+    more = [(None, a), (None, b), (7, c), (7, prose(43, 50)), (8, c), (None, c), (None, None), (9, b)]
+    more += [(None, prose(50 + i, 40)) for i in range(5)]
+    docs = odd.union(spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in more], SCHEMA))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    fps = [simhash.fingerprint((t or "").encode()) & (1 << 64) - 1 for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3 and group[i] != group[j]:
+                group = [group[i] if g == group[j] else g for g in group]
+    kept = simhash.keep_one(docs)
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert kept.columns == docs.columns and sorted({group[rows.index(r)] for r in got}) == sorted(set(group)) and len(got) == len(set(group))
+    smallest = {g: min(((i is None, i) for (i, _), h in zip(rows, group) if h == g), key=lambda x: (x[0], x[1] or 0))[1] for g in set(group)}
+    assert all(i == smallest[group[rows.index((i, t))]] for i, t in got)
+
+
 def test_wavelet_round_trip(odd, empty, spark):
     ids = np.random.default_rng(1).integers(0, 1000, 3000).astype(np.uint32)
     data = wavelet.to_bytes([4, None], np.array([1000, 2000]), ids, 16)
