@@ -10,8 +10,9 @@ Matching: the lexicon is a trie; the Levenshtein automata of all its words are
 run over it together. A state is the set of (trie node, edits so far); states
 and their moves are made when first needed and kept, so a word costs one table
 look-up per letter until it leaves every automaton, which is soon. Words of 4
-to 8 letters may have one edit, longer ones two; stems match exactly, with any
-ending.
+to 8 letters may have one edit, longer ones two. Stems are nodes of the same
+trie that take any ending: a word is on a stem if one of its beginnings is
+within the stem's edits. A word on a stem is an entry of its own as well.
 
 Context: a window of ``WINDOW`` words around each hit tells abuse (words of
 address) from quotation (quotation marks around it, words of reporting); the
@@ -45,8 +46,8 @@ ADDRESS = frozenset("you your youre yourself u ur tu te toi vous votre ton ta du
 REPORTING = frozenset("said says wrote called quote quoted quoting word term dit écrit cité citation sagte schrieb zitat wort dijo escribió cita palabra".split())
 OPEN, CLOSE = "\"“«„‚‘'", "\"”»“’‘'"
 _EDGE = re.compile(r"^\W+|\W+$")
-#: Words remembered by a worker before it starts anew.
-REMEMBERED = 300_000
+#: Words, and trie nodes in automaton states, remembered by a worker before it starts anew.
+REMEMBERED, HELD = 300_000, 2_000_000
 
 
 def edits_allowed(length: int) -> int:
@@ -54,7 +55,7 @@ def edits_allowed(length: int) -> int:
 
 
 class Lexicon:
-    """Trie of words and stems, intersected with their Levenshtein automata."""
+    """Trie of words and stems, intersected with their Levenshtein automata; a stem accepts any ending."""
 
     def __init__(self, words: list[str], stems: list[str], harmless: frozenset[str] = frozenset()) -> None:
         self.words, self.stems, self.harmless = list(words), list(stems), harmless
@@ -70,9 +71,9 @@ class Lexicon:
     def _restart(self) -> None:
         self._next: list[dict[str, int]] = [{}]
         self._word: dict[int, int] = {}  # trie node -> letters of the word that ends there
-        self._most: list[int] = [0]  # most edits any word below the node may have
-        self._stem_ends: set[str] = set(self.stems)
-        for w in self.words:
+        self._stem: dict[int, int] = {}  # the same of a stem
+        self._most: list[int] = [0]  # most edits any entry below the node may have
+        for w, ends in [*((w, self._word) for w in self.words), *((w, self._stem) for w in self.stems)]:
             at, allowed = 0, edits_allowed(len(w))
             self._most[0] = max(self._most[0], allowed)
             for c in w:
@@ -82,14 +83,18 @@ class Lexicon:
                     self._most.append(0)
                 at = self._next[at][c]
                 self._most[at] = max(self._most[at], allowed)
-            self._word[at] = allowed
-        self._stem_sizes = sorted({len(s) for s in self.stems})
+            ends[at] = allowed
+        self._forget()
+        self._seen: dict[str, int] = {}
+
+    def _forget(self) -> None:
         self._states: dict[tuple, int] = {}
         self._sets: list[tuple] = []
         self._moves: list[dict[str, int]] = []
         self._accepts: list[int] = []
+        self._stem_accepts: list[int] = []
+        self._held = 0
         self._start = self._state({0: 0})
-        self._seen: dict[str, int] = {}
 
     def _state(self, active: dict[int, int]) -> int:
         todo = list(active.items())
@@ -106,8 +111,9 @@ class Lexicon:
             self._states[key] = len(self._sets)
             self._sets.append(key)
             self._moves.append({})
-            found = [e for node, e in key if node in self._word and e <= self._word[node]]
-            self._accepts.append(min(found, default=-1))
+            self._held += len(key)
+            for ends, accepts in ((self._word, self._accepts), (self._stem, self._stem_accepts)):
+                accepts.append(min((e for node, e in key if node in ends and e <= ends[node]), default=-1))
         return self._states[key]
 
     def _move(self, state: int, c: str) -> int:
@@ -125,34 +131,44 @@ class Lexicon:
         self._moves[state][c] = to
         return to
 
-    def distance(self, word: str) -> int:
-        """Edits to the nearest lexicon word within its allowance; -1 for none."""
-        state, moves = self._start, self._moves
+    def match(self, word: str) -> tuple[int, int]:
+        """Edits to the nearest lexicon word, and from a beginning of the word
+        to the nearest stem, each within its allowance; -1 for none."""
+        state, moves, stem = self._start, self._moves, -1
         for c in word:
             to = moves[state].get(c)
             if to is None:
                 to = self._move(state, c)
             if to < 0:
-                return -1
+                return -1, stem
             state = to
-        return self._accepts[state]
+            on = self._stem_accepts[state]
+            if on >= 0 and (stem < 0 or on < stem):
+                stem = on
+        return self._accepts[state], stem
+
+    def distance(self, word: str) -> int:
+        """Edits to the nearest lexicon word within its allowance; -1 for none."""
+        return self.match(word)[0]
 
     def kind(self, token: str) -> int:
-        """0 no hit, 1 a lexicon word, 2 a misspelled one, 3 a word on a lexicon stem."""
+        """0 no hit, 1 a lexicon word, 2 a misspelled one or a misspelled stem, 3 another word on a lexicon stem."""
         word = _EDGE.sub("", token)
-        d = self.distance(word) if word not in self.harmless else -1
-        if d >= 0:
-            return 1 if d == 0 else 2
-        return 3 if any(word[:n] in self._stem_ends for n in self._stem_sizes if n <= len(word)) else 0
+        d, stem = self.match(word)
+        if d == 0 or stem == 0:
+            return 1 if d == 0 else 3
+        return 2 if (d > 0 or stem > 0) and word not in self.harmless else 0
 
     def hits(self, tokens: list[str]) -> list[tuple[int, int]]:
         """(position, kind) of the hits among lower-case tokens."""
-        if len(self._seen) > REMEMBERED or len(self._sets) > REMEMBERED:
-            self._restart()
+        if len(self._seen) > REMEMBERED:
+            self._seen = {}
         seen = self._seen
         distinct = set(tokens)
         for token in distinct:
             if token not in seen:
+                if self._held > HELD:
+                    self._forget()
                 seen[token] = self.kind(token)
         hot = {t: k for t in distinct if (k := seen[t])}
         return [(i, hot[t]) for i, t in enumerate(tokens) if t in hot] if hot else []
@@ -241,12 +257,12 @@ def _lexicon(counts: DataFrame, pos: float, neg: float) -> Lexicon:
     for r in best:  # the best stem of a family stands for it
         if r.stem and not any(r.term.startswith(s) or s.startswith(r.term) for s in stems):
             stems.append(r.term)
-    words = [r.term for r in best if not r.stem and not any(r.term.startswith(s) for s in stems)]
+    words = [r.term for r in best if not r.stem]
     lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [t for t in batch.column("term").to_pylist() if lexicon.distance(t) > 0]
+            found = [t for t in batch.column("term").to_pylist() if max(lexicon.match(t)) > 0]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["term"])
 
     # words within the automata that clean rows use: bounded by the automata and the sample

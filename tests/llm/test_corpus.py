@@ -283,6 +283,28 @@ def test_automata_equal_edit_distance():
     assert [lexicon.kind(t) for t in ("trash!", "trsh", "stemming", "plain")] == [1, 2, 3, 0]
 
 
+def test_stem_families_allow_edits_and_keep_their_words(spark):
+    lexicon = toxicity.Lexicon(["achlichen"], ["achlich"], frozenset(["aklich"]))
+    # exact word, exact stem, an edit in the word, an edit in the stem before a new ending, two edits there, a harmless near word
+    assert [lexicon.kind(t) for t in ("achlichen", "achlichung", "axhlichen", "axhlichung", "axhxichung", "aklich")] == [1, 3, 2, 2, 0, 0]
+    rng, stem = random.Random(4), "bomen"
+    lexicon = toxicity.Lexicon([], [stem])
+    for _ in range(1000):
+        w = list(stem + rng.choice(["", "tera", "s", "nt"]))
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randrange(2)] = rng.choice(["", "x", "o", "en"])
+        w = "".join(w)
+        d = min(edits(w[:n], stem) for n in range(len(w) + 1))
+        assert lexicon.match(w) == (-1, d if d <= toxicity.edits_allowed(len(stem)) else -1), w
+    counts = spark.createDataFrame(
+        [("achlich", True, 40.0, 0.0), ("achlichen", False, 20.0, 0.0), ("achlicher", False, 20.0, 0.0), ("fine", False, 50.0, 900.0)],
+        "term string, stem boolean, pos double, neg double")
+    lexicon = toxicity._lexicon(counts, 100.0, 1000.0)
+    assert sorted(lexicon.words) == ["achlichen", "achlicher"] and lexicon.stems == ["achlich"]
+    assert [lexicon.kind(t) for t in ("aohlichen", "aohlichst", "fine")] == [2, 2, 0]
+
+
 def test_toxicity_context_and_model(spark, odd, empty):
     lexicon = toxicity.Lexicon(["idiot"], [])
     you, said, plain = (toxicity.features(t, lexicon) for t in ("you are an idiot", 'he wrote "idiot" here', "an idiot of sorts"))
