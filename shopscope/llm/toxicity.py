@@ -1,10 +1,12 @@
 """Toxicity by a learned lexicon, matched through Levenshtein automata.
 
-Learning (training rows only, at most about ``PER_CLASS`` rows of each class,
-chosen by a hash of their id): words, and stems that several words share, are
-counted by class in a Spark aggregate, and those that mark label 1 become the
-lexicon. Word variants that clean training rows use are noted as harmless.
-A logistic regression over a handful of counts of hits gives the score.
+Learning (training rows only): words, and stems that several words share, are
+counted by class over all labelled rows in a Spark aggregate, and those that
+mark label 1 become the lexicon: at least ``LEAST_ROWS`` toxic rows, whatever
+the size of the corpus, and a log-likelihood ratio that chance rarely reaches.
+Word variants that clean training rows use are noted as harmless. A logistic
+regression over a handful of counts of hits gives the score; it learns from at
+most about ``PER_CLASS`` rows of each class, chosen by a hash of their id.
 
 Matching: the lexicon is a trie; the Levenshtein automata of all its words are
 run over it together. A state is the set of (trie node, edits so far); states
@@ -31,15 +33,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.common import crc_mod, hash_sample, saved, text_slices
 
-#: Bound on the labelled rows of each class that are learned from (about; by hash).
+#: Bound on the labelled rows of each class that the regression learns from (about; by hash).
 PER_CLASS = 4000
-#: Bound on lexicon entries; stems are the first letters shared by words.
-ENTRIES, STEM_LENGTHS = 300, (4, 5, 6, 7)
+#: What a term needs to be an entry: toxic rows, and a log-likelihood ratio (15.1: chance reaches it once in 10,000 terms).
+LEAST_ROWS, LEAST_RATIO = 3, 15.1
+#: Bounds on lexicon entries and harmless words, only so that they fit the
+#: driver and a broadcast: a term has at most 24 letters, so at most 2 MB and 20 MB.
+ENTRIES, HARMLESS = 20_000, 200_000
+#: Stems are the first letters shared by words.
+STEM_LENGTHS = (4, 5, 6, 7)
 WINDOW = 6
 #: Fixed word lists of the context window.
 ADDRESS = frozenset("you your youre yourself u ur tu te toi vous votre ton ta du dich dein deine ihr euch tú usted vos".split())
@@ -215,7 +222,7 @@ class Model:
 
 def _terms(text: str) -> Iterator[tuple[str, bool]]:
     """Words (False) of a text, and stems (True) that at least two different words of it begin with."""
-    words = {w for t in set(text.lower().split()) if (w := _EDGE.sub("", t)).isalpha() and 3 <= len(w) <= 24}
+    words = {w for t in set(text.lower().split()) if (w := t if t.isalpha() else _EDGE.sub("", t)).isalpha() and 3 <= len(w) <= 24}
     for w in words:
         yield w, False
     for n in STEM_LENGTHS:
@@ -228,46 +235,58 @@ def _terms(text: str) -> Iterator[tuple[str, bool]]:
                 yield stem, True
 
 
-def term_counts(sample: DataFrame) -> DataFrame:
-    """(term, stem, pos, neg): weight of the rows of each label that have the term."""
+def term_counts(labelled: DataFrame) -> DataFrame:
+    """(term, stem, pos, neg): how many rows of each label have the term; all rows under the null term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                pos: dict[tuple[str, bool], list[float]] = {}
-                for text, label, weight in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "weight"))):
-                    for term in _terms(text or ""):
-                        pos.setdefault(term, [0.0, 0.0])[1 - label] += weight
+                found: dict[tuple[str | None, bool], list[int]] = {}
+                for text, label in zip(*(part.column(c).to_pylist() for c in ("text", "toxic"))):
+                    for term in ((None, False), *_terms(text or "")):
+                        found.setdefault(term, [0, 0])[1 - label] += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([t for t, _ in pos], pa.string()), pa.array([s for _, s in pos], pa.bool_()),
-                     pa.array([v[0] for v in pos.values()], pa.float64()), pa.array([v[1] for v in pos.values()], pa.float64())],
+                    [pa.array([t for t, _ in found], pa.string()), pa.array([s for _, s in found], pa.bool_()),
+                     pa.array([v[0] for v in found.values()], pa.float64()), pa.array([v[1] for v in found.values()], pa.float64())],
                     ["term", "stem", "pos", "neg"])
 
-    rows = sample.select("text", "toxic", "weight").mapInArrow(run, "term string, stem boolean, pos double, neg double")
+    rows = labelled.select("text", "toxic").mapInArrow(run, "term string, stem boolean, pos double, neg double")
     return rows.groupBy("term", "stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
+def _ratio(pos: float, neg: float) -> Column:
+    """Log-likelihood ratio (G squared) of a term's rows in the two classes against equal shares."""
+    p, n, share = F.col("pos"), F.col("neg"), pos / (pos + neg)
+    cells = ((p, (p + n) * share), (n, (p + n) * (1 - share)), (pos - p, (pos + neg - p - n) * share), (neg - n, (pos + neg - p - n) * (1 - share)))
+    return sum((F.when(seen > 0, 2 * seen * F.log(seen / due)).otherwise(0.0) for seen, due in cells), F.lit(0.0))
+
+
 def _lexicon(counts: DataFrame, pos: float, neg: float) -> Lexicon:
-    """The entries that mark label 1 best, at most ``ENTRIES``; then the harmless near words among the counts."""
+    """The entries that mark label 1, best first as far as ``ENTRIES``; then the harmless near words among the counts."""
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    enough = F.col("pos") >= max(3.0, 0.02 * pos)
+    counts = counts.filter(F.col("term").isNotNull())
+    enough = (F.col("pos") >= LEAST_ROWS) & (_ratio(pos, neg) >= LEAST_RATIO)
     best = counts.withColumn("odds", odds).filter(enough & (F.col("odds") > 3.0)).orderBy(
         F.desc(F.col("odds") * F.col("pos")), "term", "stem").limit(ENTRIES).collect()
     stems: list[str] = []
+    chosen, heads = set(), set()
     for r in best:  # the best stem of a family stands for it
-        if r.stem and not any(r.term.startswith(s) or s.startswith(r.term) for s in stems):
+        begins = {r.term[:n] for n in range(1, len(r.term) + 1)}
+        if r.stem and r.term not in heads and not begins & chosen:
             stems.append(r.term)
+            chosen.add(r.term)
+            heads |= begins
     words = [r.term for r in best if not r.stem]
     lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [t for t in batch.column("term").to_pylist() if max(lexicon.match(t)) > 0]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["term"])
+            yield batch.filter(pa.array([max(lexicon.match(t)) > 0 for t in batch.column("term").to_pylist()], pa.bool_()))
 
-    # words within the automata that clean rows use: bounded by the automata and the sample
+    # words within the automata that clean rows use, the most used first
     clean = counts.filter(~F.col("stem") & (F.col("neg") > 0) & (F.col("neg") * pos > 0.2 * F.col("pos") * neg))
-    harmless = [r.term for r in clean.select("term").mapInArrow(near, "term string").collect()]
+    harmless = [r.term for r in clean.select("term", "neg").mapInArrow(near, "term string, neg double").orderBy(
+        F.desc("neg"), "term").limit(HARMLESS).collect()]
     return Lexicon(words, stems, frozenset(harmless))
 
 
@@ -300,7 +319,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     pos, neg = totals.get(1, 0.0), totals.get(0, 0.0)
     if not pos or not neg:
         return Model(Lexicon([], []), bias=30.0 if pos else -30.0 if neg else 0.0)
-    model = Model(_lexicon(term_counts(sample), pos, neg))
+    # every labelled text goes to its label once
+    counts = saved(term_counts(texts.join(known, "doc_id").dropDuplicates(["doc_id"])), "terms")
+    every = counts.filter(F.col("term").isNull()).first()
+    model = Model(_lexicon(counts, every.pos, every.neg))
     shared = spark.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

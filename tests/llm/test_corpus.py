@@ -305,6 +305,19 @@ def test_stem_families_allow_edits_and_keep_their_words(spark):
     assert [lexicon.kind(t) for t in ("aohlichen", "aohlichst", "fine")] == [2, 2, 0]
 
 
+def test_rare_terms_enter_the_lexicon_of_a_large_corpus(spark, monkeypatch):
+    rows = [("moron", False, 900.0, 0.0), ("rareword", False, 5.0, 0.0), ("chance", False, 2.0, 0.0), ("thin", False, 40.0, 60.0)]
+    many = [(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}xyzv", False, 30.0, 0.0) for i in range(400)]
+    counts = spark.createDataFrame([*rows, *many, (None, False, 1000.0, 9000.0)], "term string, stem boolean, pos double, neg double")
+    assert set(toxicity._lexicon(counts, 1000.0, 9000.0).words) == {"moron", "rareword", *(t for t, *_ in many)}
+    # a term is counted in all labelled rows, though the regression sees a few
+    docs = spark.createDataFrame([(i, f"{prose(i, 20)} {'' if i % 3 else 'moron' if i > 60 else 'rareword'}", None, None, None, None, None, None)
+                                  for i in range(1500)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(1500)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, per_class=20)
+    assert {"moron", "rareword"} <= set(model.lexicon.words)
+
+
 def test_toxicity_context_and_model(spark, odd, empty):
     lexicon = toxicity.Lexicon(["idiot"], [])
     you, said, plain = (toxicity.features(t, lexicon) for t in ("you are an idiot", 'he wrote "idiot" here', "an idiot of sorts"))
