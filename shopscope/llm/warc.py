@@ -9,10 +9,16 @@ from what they name, so a task that runs again gives the same record.
 A null page (html) is an empty payload; a null url leaves the target URI empty;
 null ids are allowed and repeated pages give repeated records (with the same
 identifiers, as their content is the same). Other columns are not read.
+
+Character references are decoded once, by HTML's rules: all named ones, the old
+names also without a semicolon, and numeric ones (what no character has is
+U+FFFD). A no-break space from a reference is a plain space.
 """
 
 from __future__ import annotations
 
+from html.entities import codepoint2name, html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +34,11 @@ TEXT_STEPS = (
     (r"<[^>]*>", ""),
 )
 SPACE_STEPS = ((r"[ \t\r\x0B\x0C]+", " "), (r" ?\n[ \n]*", "\n"), (r"\A[ \n]+", ""), (r"[ \n]+\z", ""))
-#: Named references, the ampersand last so that nothing is unescaped twice.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+_VALUE = r"(\"[^\"]*\"|'[^']*'|[^\s\"'<>=`][^\s>]*)"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-LANGUAGE = r"(?i)<html\b[^>]*\blang=\"([^\"]*)\""
-LINK = r"(?i)<a\b[^>]*\bhref=\"([^\"]*)\""
+#: Attribute values with their quotation marks, if any.
+LANGUAGE = rf"(?i)<html\b[^>]*?[\s\"'/]lang\s*=\s*{_VALUE}"
+LINK = rf"(?i)<a\b[^>]*?[\s\"'/]href\s*=\s*{_VALUE}"
 RECORD = "page_id long, record_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, source_headers string, source_digest string, block_digest string, content_length long, content string"
 
 
@@ -56,16 +62,71 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return rows.select("page_id", _uuid(key).alias("record_id"), "target_uri", F.lit(date).alias("warc_date"), headers.alias("source_headers"), "source_digest", "payload")
 
 
+def _named() -> Column:
+    """HTML's names (with their semicolon, if they have one) and what they stand for; frequent ones first, as a look-up reads in order."""
+    frequent = {f"{n}{end}" for n in [*codepoint2name.values(), "apos"] for end in (";", "")}
+    names = sorted(html5, key=lambda n: (n not in frequent, n))
+    pairs = "\x01".join(f"{n}\x02{html5[n]}" for n in names)
+    return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+
+#: Names that count without a semicolon, longer ones first.
+_OLD = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+#: What the numbers 128 to 159 stand for: windows-1252 where it has a character.
+_C1 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+
+
+def _numbered(hexadecimal: Column) -> Column:
+    """The character of a number in hexadecimal digits without leading zeros."""
+    number = F.conv(F.substring(hexadecimal, 1, 7), 16, 10).cast("int")
+    none = (F.length(hexadecimal) > 6) | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    return F.when(none, F.lit("\ufffd")).when(
+        number.between(128, 159), F.get(F.array(*map(F.lit, _C1)), number - 128)).otherwise(
+        F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32"))
+
+
+def _decoded(part: Column) -> Column:
+    """A text from one ampersand to the next, with the reference it begins with decoded."""
+    def begin(pattern: str) -> Column:
+        return F.regexp_extract(part, pattern, 1)
+
+    def instead(pattern: str, value: Column) -> Column:
+        value = F.when(value == "\u00a0", F.lit(" ")).otherwise(value)
+        return F.concat(value, F.regexp_replace(part, rf"\A{pattern}", ""))
+
+    decimal, hexadecimal = r"&#0*([0-9]+);?", r"&#[xX]0*([0-9A-Fa-f]+);?"
+    digits, name = begin(rf"\A{decimal}"), begin(r"\A&([A-Za-z][A-Za-z0-9]*;)")
+    old = begin(rf"\A&({_OLD})")
+    # eight decimal digits are above the last character
+    from_decimal = F.when(F.length(digits) > 7, F.lit("FFFFFFF")).otherwise(F.conv(digits, 10, 16))
+    value = F.try_element_at(_named(), name)
+    return (F.when(~part.startswith("&"), part)
+            .when(part.rlike(rf"\A{decimal}"), instead(decimal, _numbered(from_decimal)))
+            .when(part.rlike(rf"\A{hexadecimal}"), instead(hexadecimal, _numbered(begin(rf"\A{hexadecimal}"))))
+            .when(value.isNotNull(), instead(r"&[A-Za-z][A-Za-z0-9]*;", value))
+            .when(old != "", instead(rf"&(?:{_OLD})", F.try_element_at(_named(), old)))
+            .otherwise(part))
+
+
+def unescaped(text: Column) -> Column:
+    """``text`` with its character references decoded, each once."""
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "(?=&)"), _decoded), "")).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
     for pattern, with_ in TEXT_STEPS:
         html = F.regexp_replace(html, pattern, with_)
-    for name, with_ in ENTITIES:
-        html = F.replace(html, F.lit(name), F.lit(with_))
+    html = unescaped(html)
     for pattern, with_ in SPACE_STEPS:
         html = F.regexp_replace(html, pattern, with_)
     return html
 
 
+def _bare(value: Column) -> Column:
+    """An attribute value without its quotation marks."""
+    return F.when(value.rlike("\\A[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def derivatives(found: DataFrame) -> DataFrame:
     """Two records for each response: ``metadata`` (title, language, links, and
     the conversion's identifier) and ``conversion`` (plain text)."""
@@ -73,8 +134,8 @@ def derivatives(found: DataFrame) -> DataFrame:
     metadata_id = _uuid(F.concat_ws("|", F.lit("metadata"), "record_id"))
     rows = found.withColumns({
         "text": plain_text(F.col("payload")), "conversion_id": conversion_id, "metadata_id": metadata_id,
-        "title": F.regexp_extract("payload", TITLE, 1), "language": F.regexp_extract("payload", LANGUAGE, 1),
-        "links": F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))})
+        "title": F.regexp_extract("payload", TITLE, 1), "language": _bare(F.regexp_extract("payload", LANGUAGE, 1)),
+        "links": F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), _bare)})
     fields = F.concat(
         F.lit("title: "), "title", F.lit("\r\nlanguage: "), "language", F.lit("\r\nconversion: <"), "conversion_id", F.lit(">\r\n"),
         F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), ""))
@@ -101,13 +162,19 @@ def serialised(records: DataFrame) -> DataFrame:
     return records.select("page_id", "record_id", F.concat(header, "content", F.lit("\r\n\r\n")).alias("record"))
 
 
+#: The SQL's own table and patterns: seven references, the ampersand last, and double-quoted attributes.
+_SQL_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+_SQL_LANGUAGE = r"(?i)<html\b[^>]*\blang=\"([^\"]*)\""
+_SQL_LINK = r"(?i)<a\b[^>]*\bhref=\"([^\"]*)\""
+
+
 def _oracle() -> str:
     text = "payload"
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     line = lambda s: "chr(10)" if s == "\n" else quote(s)
     for pattern, with_ in TEXT_STEPS:
         text = f"regexp_replace({text}, {quote(pattern)}, {line(with_)}, 'g')"
-    for name, with_ in ENTITIES:
+    for name, with_ in _SQL_ENTITIES:
         text = f"replace({text}, {quote(name)}, {quote(with_)})"
     for pattern, with_ in SPACE_STEPS:
         text = f"regexp_replace({text}, {quote(pattern)}, {line(with_)}, 'g')"
@@ -125,9 +192,9 @@ WITH r AS (
 ), t AS (
   SELECT *, {uuid("'conversion|' || rid || '|text/plain'")} AS cid, {uuid("'metadata|' || rid")} AS mid, {text} AS txt FROM i
 ), f AS (
-  SELECT *, 'title: ' || regexp_extract(payload, {quote(TITLE)}, 1) || {end} || 'language: ' || regexp_extract(payload, {quote(LANGUAGE)}, 1) || {end}
+  SELECT *, 'title: ' || regexp_extract(payload, {quote(TITLE)}, 1) || {end} || 'language: ' || regexp_extract(payload, {quote(_SQL_LANGUAGE)}, 1) || {end}
          || 'conversion: <' || cid || '>' || {end}
-         || coalesce(array_to_string(list_transform(regexp_extract_all(payload, {quote(LINK)}, 1), lambda x: 'outlink: ' || x || {end}), ''), '') AS fields
+         || coalesce(array_to_string(list_transform(regexp_extract_all(payload, {quote(_SQL_LINK)}, 1), lambda x: 'outlink: ' || x || {end}), ''), '') AS fields
   FROM t
 ), b AS (
   SELECT page_id, 'metadata' AS record_type, mid AS record_id, rid AS refers_to, target_uri, 'application/warc-fields' AS content_type, source_headers, source_digest, fields AS content FROM f

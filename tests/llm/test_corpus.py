@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopscope.llm import contain, langid, lengths, packing, quality, simhash, suffixes, toxicity, warc, wavelet
@@ -175,6 +176,23 @@ def test_warc_links_and_nulls(spark):
     assert f"WARC-Refers-To: <{ids[1]}>" in text[conversion.record_id]
 
 
+def test_warc_decodes_all_references_and_reads_all_attribute_forms(spark):
+    from html import unescape
+    from html.entities import html5
+
+    texts = ["".join(f"x&{n} " for n in html5), "&copy; 2024 &middot; &eacute;&#233;&#xE9;&#XE9 &#0233;", "&amp;lt; &amp;amp;copy; & && &; &# &#x; &#;",
+             "&copy2024 &notit; &notin; &nosuch; &AMP", "&#0;&#x110000;&#99999999999;&#xD800;&#128;&#x9f;&#1114111;|&#x1F600;", "no reference", "\n&#10;$1\\&lt;"]
+    got = [r.t for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(warc.unescaped(F.col("t")).alias("t")).collect()]
+    want = [unescape(t).replace("\u00a0", " ") for t in texts]
+    want[4] = want[4].replace("|", "\U0010ffff|")  # unescape leaves noncharacters out
+    assert got == want
+    html = "<html lang='fr' class=x><a title=t href='/one'>1</a><a href=/two>2</a><A HREF = \"/three\" data-href='/no'>&copy;&#233;</a><a href=\"\">4</a>"
+    rows = warc.derivatives(warc.responses(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))).collect()
+    content = {r.record_type: r.content for r in rows}
+    assert "language: fr\r\n" in content["metadata"] and content["conversion"] == "12©é4"
+    assert [x[9:] for x in content["metadata"].split("\r\n") if x.startswith("outlink: ")] == ["/one", "/two", "/three", ""]
+
+
 def test_containment_equals_brute_force(spark, odd, empty):
     item, short = prose(2, 40), "just three words"
     changed = " ".join("zz" if i == 20 else w for i, w in enumerate(prose(2, 60).split()))
