@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopscope.llm import contain, langid, lengths, packing, quality, simhash, suffixes, toxicity, warc, wavelet
+from shopscope.llm import contain, langid, lengths, packing, quality, simhash, suffixes, toxicity, warc, wavelet, whitening
 from shopscope.llm.common import documents, table
 
 
@@ -50,7 +50,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir)))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_wavelet, op3_language, op4_warc, op5_decontaminate, op6_token_counts, op7_suffixes, op8_quality, op9_toxicity,
-    op10_packing)}
+    op10_packing, op11_whitening)}
 ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op8_quality": quality.ORACLE}
