@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopscope.llm import bytebpe, contain, langid, lengths, packing, quality, simhash, suffixes, toxicity, warc, wavelet, whitening
+from shopscope.llm import alignment, bytebpe, contain, langid, lengths, packing, quality, simhash, suffixes, toxicity, warc, wavelet, whitening
 from shopscope.llm.common import documents, table
 
 
@@ -58,7 +58,11 @@ def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(documents(spark, sf_dir))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_wavelet, op3_language, op4_warc, op5_decontaminate, op6_token_counts, op7_suffixes, op8_quality, op9_toxicity,
-    op10_packing, op11_whitening, op12_bytebpe)}
+    op10_packing, op11_whitening, op12_bytebpe, op13_alignment)}
 ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op8_quality": quality.ORACLE}
