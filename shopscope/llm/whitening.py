@@ -30,6 +30,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -82,8 +83,8 @@ def numbered(rows: DataFrame) -> DataFrame:
     first = rows.sparkSession.createDataFrame(
         [(int(r["_task"]), int(b)) for r, b in zip(counts, before)], "_task long, _first long")
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return written.withColumn("_task", task).join(first, "_task").withColumn(
-        "index", F.col("_first") + place).drop("_task", "_first", "_at")
+    rows = written.withColumn("_task", task).join(first, "_task").withColumn("index", F.col("_first") + place)
+    return saved(rows.drop("_task", "_first", "_at"), "indexed")  # read several times
 
 
 def _longs(values: list[int]) -> Column:
@@ -108,12 +109,13 @@ def scatter(rows: DataFrame, n: int, dimensions: int, stripe: int = STRIPE) -> n
     """Transposed matrix times matrix of the (centred) rows."""
     total = np.zeros((dimensions, dimensions))
     for part, _, size in _stripes(rows, n, stripe):
-        matrix = blocks(part, size, dimensions)
+        matrix = blocks(part, size, dimensions).persist(StorageLevel.MEMORY_AND_DISK)  # both factors
         turned = matrix.transpose()
         # the middle dimension is dealt over the tasks: one task would get all blocks otherwise
         splits = max(1, -(-size // matrix.rowsPerBlock))
         product = turned._java_matrix_wrapper.call("multiply", matrix._java_matrix_wrapper._java_model, splits)
         total += BlockMatrix(product, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
+        matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
     return total
 
 
