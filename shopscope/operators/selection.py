@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.functions.predicates import (
@@ -56,12 +56,24 @@ def fits_broadcast(shops: DataFrame, max_rows: int | None = BROADCAST_MAX_SHOPS,
     """
     if max_rows is None:
         return False
+    n, size = broadcast_measures(shops, columns)
+    stats = shops.select(*columns).agg(n.alias("n"), size.alias("bytes")).first()
+    return stats["n"] <= max_rows and stats["bytes"] <= max_bytes
+
+
+def broadcast_measures(shops: DataFrame, columns) -> tuple[Column, Column]:
+    """Aggregates that give the rows and bytes a broadcast of ``columns`` would hold."""
     types = dict(shops.dtypes)
     width = F.lit(16)
     for c in columns:
         width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if types[c] == "string" else F.lit(8))
-    stats = shops.select(*columns).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return stats["n"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+    return F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))
+
+
+def likely_few(ids: DataFrame) -> DataFrame:
+    """Distinct ids behind a comparison every id passes: Spark builds a runtime
+    Bloom filter only of a side that has a filter of its own."""
+    return ids.select("shop_id").distinct().filter(F.col("shop_id") >= F.lit(""))
 
 
 def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
@@ -73,12 +85,15 @@ def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | N
     they are read, without a shuffle); otherwise, or without the bound, the
     planner sort-merges, and AQE turns that into a broadcast only when the
     shuffled shop side measures under its bound at run time,
-    with AQE splitting a hot shop's partition. Duplicate shop rows do not
-    duplicate payments.
+    with AQE splitting a hot shop's partition. A scan above Spark's runtime
+    filter size is then thinned by a Bloom filter of the ids first. Duplicate
+    shop rows do not duplicate payments.
     """
     ids = shops.select("shop_id")
     if broadcast_max_rows is not None and fits_broadcast(ids, broadcast_max_rows):
         ids = F.broadcast(ids)
+    else:
+        ids = likely_few(ids)
     return pays.join(ids, on="shop_id", how="left_semi")
 
 

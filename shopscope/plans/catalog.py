@@ -16,7 +16,8 @@ from shopscope.functions.clean import epoch_to_day, ntz_epoch_seconds
 from shopscope.operators import aggregates as A
 from shopscope.operators import selection as S
 from shopscope.plans import jobs as J
-from shopscope.plans.sql import popularity_sql
+from shopscope.plans.sql import days_sql, popularity_sql
+from shopscope.shared import new_path, text_files
 from shopscope.sources.lines import (
     parse_pay_json,
     parse_pay_lines,
@@ -25,17 +26,23 @@ from shopscope.sources.lines import (
     parse_view_json,
     parse_view_lines,
 )
+from shopscope.sources.readers import read_or_quarantine, read_pays, read_shops, read_views
 from shopscope.sources.schema import LOG_COLUMNS, SHOP_COLUMNS
 from shopscope.sources.standin import (
     STANDIN_CATEGORY,
     STANDIN_CITIES,
     STANDIN_KEYWORD,
+    pay_file_lines,
+    pay_file_records,
+    shop_file_lines,
+    shop_file_records,
     standin_pays,
     standin_shops,
     standin_table,
     standin_views,
     to_csv_lines,
     to_json_lines,
+    view_file_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +118,63 @@ def shop_info_exact_fields(spark, sf_dir):
     return parse_shop_lines(lines, bad_rows="drop", required_fields=10)
 
 
+# --- files: lines written as text files and read from there ------------------
+# The files hold the stand-in rows and, derived from them, lines that each rule
+# must accept, repair or refuse (``standin.shop_file_lines`` and the like).
+
+@query("shop_file_rows")
+def shop_file_rows(spark, sf_dir):
+    """The good shop lines of files with nine-field, blank and bad lines, read in at least 4 splits."""
+    path = text_files(shop_file_lines(_shops(spark, sf_dir)), "shop-lines")
+    return read_shops(spark, path, bad_rows="drop", min_partitions=4)
+
+
+@query("shop_file_exact_fields")
+def shop_file_exact_fields(spark, sf_dir):
+    """of the same files, only lines with exactly ten fields."""
+    path = text_files(shop_file_lines(_shops(spark, sf_dir)), "shop-lines")
+    return read_shops(spark, path, bad_rows="drop", required_fields=10)
+
+
+@query("shop_file_quarantine")
+def shop_file_quarantine(spark, sf_dir):
+    """The bad lines of the same files and their reasons, written as a table and read back."""
+    path, refused = text_files(shop_file_lines(_shops(spark, sf_dir)), "shop-lines"), new_path(spark, "refused")
+    read_or_quarantine(spark, path, "shop", refused)
+    return spark.read.parquet(refused).filter(F.contains("file", F.lit("shop-lines"))).select("line", "reason")
+
+
+@query("pay_file_rows")
+def pay_file_rows(spark, sf_dir):
+    """Payment files with short lines and time stamps that begin with a tab."""
+    path = text_files(pay_file_lines(_pays(spark, sf_dir)), "pay-lines")
+    return read_pays(spark, path, bad_rows="drop", min_partitions=8)
+
+
+@query("view_file_rows")
+def view_file_rows(spark, sf_dir):
+    """S3: page-view files with blank and short lines."""
+    return read_views(spark, text_files(view_file_lines(standin_views(spark, sf_dir)), "view-lines"), bad_rows="drop")
+
+
+@query("shop_file_json")
+def shop_file_json(spark, sf_dir):
+    """JSON-lines shop files with quoted numbers, missing keys, bad integers and broken lines."""
+    return read_shops(spark, text_files(shop_file_records(_shops(spark, sf_dir)), "shop-records"), fmt="json", bad_rows="drop")
+
+
+@query("pay_file_json")
+def pay_file_json(spark, sf_dir):
+    """JSON-lines payment files; bad lines are kept beside the good rows."""
+    return read_pays(spark, text_files(pay_file_records(_pays(spark, sf_dir)), "pay-records"), fmt="json", bad_rows="keep")
+
+
+@query("view_file_json")
+def view_file_json(spark, sf_dir):
+    """JSON-lines page-view files."""
+    return read_views(spark, text_files(to_json_lines(standin_views(spark, sf_dir), LOG_COLUMNS), "view-records"), fmt="json")
+
+
 # --- functions and filters -------------------------------------------------
 
 @query("epoch_to_day")
@@ -121,6 +185,13 @@ def epoch_to_day_q(spark, sf_dir):
     return ev.select("event_id", secs.alias("epoch_s"), epoch_to_day(secs, "UTC").alias("day"))
 
 
+@query("view_days_sql")
+def view_days_sql(spark, sf_dir):
+    """Page views per day, by the SQL function toDayStr over a temp view."""
+    events = standin_table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    return days_sql(spark, events.select(ntz_epoch_seconds("ts").alias("epoch_s")))
+
+
 @query("keyword_shops")
 def keyword_shops(spark, sf_dir):
     return S.keyword_shops(_shops(spark, sf_dir), STANDIN_KEYWORD)
@@ -149,6 +220,12 @@ def exists_gate_pays(spark, sf_dir):
     return S.exists_gate(_pays(spark, sf_dir), _shops(spark, sf_dir), STANDIN_CATEGORY, STANDIN_CITIES)
 
 
+@query("closed_gate_pays")
+def closed_gate_pays(spark, sf_dir):
+    """J-exists with a gate that no shop opens: no payment passes, whatever its shop."""
+    return S.exists_gate(_pays(spark, sf_dir), _shops(spark, sf_dir), STANDIN_CATEGORY, ("NOWHERE",))
+
+
 @query("shop_with_pay_count")
 def shop_with_pay_count(spark, sf_dir):
     return A.shop_with_pay_count(_shops(spark, sf_dir), _pays(spark, sf_dir))
@@ -252,6 +329,13 @@ def popularity_top10_per_city(spark, sf_dir):
     return top.select("city_name", "rank", "shop_id")
 
 
+@query("popularity_top3_per_city")
+def popularity_top3_per_city(spark, sf_dir):
+    """T3 with a k below the number of shops of a city."""
+    top = J.popularity_top_per_city(_shops(spark, sf_dir), _pays(spark, sf_dir), k=3, **_selection_kwargs())
+    return top.select("city_name", "rank", "shop_id")
+
+
 @query("popularity_score_integer")
 def popularity_score_integer(spark, sf_dir):
     return J.popularity_integer_scores(_shops(spark, sf_dir), _pays(spark, sf_dir), **_selection_kwargs())

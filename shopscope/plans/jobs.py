@@ -1,8 +1,10 @@
 """Whole jobs: read-clean-select-aggregate-score-rank as one lazy plan.
 
 Every job takes typed (shops, pays) DataFrames from any reader and returns
-a DataFrame; nothing is collected inside a job, and the caller's single
-action runs it. Parameters default to the original fixed values.
+a DataFrame that the caller's action runs. A job that selects shops writes the
+selection to the shared folder when it is built, once, and reads its size from
+that write (two numbers); no rows are collected inside a job. Parameters
+default to the original fixed values.
 """
 
 from __future__ import annotations
@@ -27,7 +29,14 @@ from shopscope.operators.aggregates import (
     revenue_stats,
 )
 from shopscope.operators.ranking import DEFAULT_K, top_k, top_k_per_group
-from shopscope.operators.selection import BROADCAST_MAX_SHOPS, fits_broadcast, pays_of_shops, select_shops
+from shopscope.operators.selection import (
+    BROADCAST_MAX_BYTES,
+    BROADCAST_MAX_SHOPS,
+    broadcast_measures,
+    likely_few,
+    select_shops,
+)
+from shopscope.shared import materialised
 
 # Shop columns the selection jobs broadcast (join key plus the attributes the
 # scores and reports read); the size check measures exactly these.
@@ -65,7 +74,9 @@ def selected_day_counts(shops: DataFrame, pays: DataFrame, cities: Iterable[str]
                         broadcast_max_rows: int | None = BROADCAST_MAX_SHOPS) -> tuple[DataFrame, DataFrame]:
     """Selected shops and their payments per (shop, day): (selected, counts).
 
-    Two exact plans, chosen by counting the selection first:
+    The selection is evaluated once: it is written to the shared folder with
+    the columns the jobs read, and everything after reads it from there.
+    Two exact plans, chosen by the size the write observed:
 
     * at most ``broadcast_max_rows`` selected shops: they are broadcast and
       payments are filtered where they are read (no shuffle of payments),
@@ -73,18 +84,21 @@ def selected_day_counts(shops: DataFrame, pays: DataFrame, cities: Iterable[str]
     * more: every payment is first counted per (shop, day) (map-side
       partial count, so a hot shop ships at most one row per day and input
       partition), and only those counts are joined to the distinct
-      selected ids. Raw payments are never shuffled by shop.
+      selected ids. Raw payments are never shuffled by shop. Above Spark's
+      runtime filter size a Bloom filter of the ids reaches the payment scan,
+      so most other payments are not counted at all.
 
     The returned ``selected`` carries the broadcast hint in the first case,
     so the later join of per-shop statistics to shop attributes is also a
     broadcast.
     """
-    selected = select_shops(shops, cities, keyword)
-    if fits_broadcast(selected, broadcast_max_rows, columns=BROADCAST_COLUMNS):
+    chosen = select_shops(shops, cities, keyword).select(*BROADCAST_COLUMNS)
+    n, size = broadcast_measures(chosen, BROADCAST_COLUMNS)
+    selected, seen = materialised(chosen, "selected-shops", n=n, bytes=size)
+    if broadcast_max_rows is not None and seen["n"] <= broadcast_max_rows and seen["bytes"] <= BROADCAST_MAX_BYTES:
         selected = F.broadcast(selected)
-        return selected, day_counts(pays_of_shops(pays, selected))
-    ids = selected.select("shop_id").distinct()
-    return selected, day_counts(pays).join(ids, on="shop_id", how="inner")
+        return selected, day_counts(pays.join(F.broadcast(selected.select("shop_id")), on="shop_id", how="left_semi"))
+    return selected, day_counts(pays).join(likely_few(selected), on="shop_id", how="inner")
 
 
 def _selected_stats(shops, pays, cities, keyword, broadcast_max_rows):

@@ -75,7 +75,50 @@ sel_pop AS (
 _SHOP_COLS = ("shop_id, city_name, location_id, per_pay, score, comment_cnt, shop_level, "
               "cate_1_name, cate_2_name, cate_3_name")
 
+# The files of the file queries hold, beside each row's line, lines derived from
+# some rows; here is what the reading rules make of each kind.
+_SHOP_LINES = f"""
+    SELECT {_SHOP_COLS} FROM shop_info
+    UNION ALL
+    SELECT 'n' || shop_id, city_name, location_id, per_pay, score, comment_cnt, shop_level, cate_1_name, cate_2_name, ''
+    FROM shop_info WHERE location_id % 5 = 0
+    UNION ALL
+    SELECT 'b' || shop_id, city_name, 0, per_pay, 0, 0, shop_level, cate_1_name, '', cate_3_name
+    FROM shop_info WHERE location_id % 3 = 0"""
+
 _QUERIES = {
+    "shop_file_rows": _SHOP_LINES,
+    "shop_file_exact_fields": f"SELECT * FROM ({_SHOP_LINES}) WHERE shop_id[1] <> 'n'",
+    "shop_file_quarantine": """
+        SELECT concat_ws(',', 'e' || shop_id, city_name, location_id, per_pay, score, comment_cnt, shop_level, cate_1_name) AS line,
+               '8 fields' AS reason FROM shop_info WHERE location_id % 4 = 0
+        UNION ALL
+        SELECT concat_ws(',', 'x' || shop_id, city_name, location_id, '12x', score, comment_cnt, shop_level, cate_1_name, cate_2_name, cate_3_name),
+               'not an integer: per_pay' FROM shop_info WHERE location_id % 4 = 1
+        UNION ALL
+        SELECT '', 'blank line' FROM shop_info WHERE shop_level = 0""",
+    "pay_file_rows": """
+        SELECT coalesce(user_id, '') AS user_id, shop_id,
+               CASE WHEN day LIKE '%7' THEN chr(9) ELSE '' END || time_stamp AS time_stamp, day FROM user_pay""",
+    "view_file_rows": "SELECT user_id, shop_id, time_stamp FROM user_view",
+    "shop_file_json": f"""
+        SELECT {_SHOP_COLS} FROM shop_info
+        UNION ALL
+        SELECT 'k' || shop_id, '', 0, per_pay, 0, 0, 0, cate_1_name, '', '' FROM shop_info WHERE location_id % 3 = 0""",
+    "pay_file_json": """
+        SELECT coalesce(user_id, '') AS user_id, shop_id, time_stamp, day, NULL::VARCHAR AS _bad FROM user_pay
+        UNION ALL SELECT '', '', '', '', 'payment at ' || shop_id FROM user_pay WHERE day LIKE '%15'
+        UNION ALL SELECT '', '', '', '', '' FROM user_pay WHERE day LIKE '%25'""",
+    "view_file_json": "SELECT user_id, shop_id, time_stamp FROM user_view",
+    "view_days_sql": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY ALL",
+    "closed_gate_pays": """
+        SELECT user_id, shop_id, time_stamp, day FROM user_pay
+        WHERE EXISTS (SELECT 1 FROM shop_info WHERE cate_1_name = 'LARGE' AND city_name = 'NOWHERE')""",
+    "popularity_top3_per_city": """
+        SELECT city_name, CAST(rank AS INTEGER) AS rank, shop_id FROM (
+            SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY CASE per_pay WHEN 0 THEN 'NaN'::DOUBLE ELSE pop END DESC, shop_id) AS rank
+            FROM sel_pop)
+        WHERE rank <= 3""",
     "shop_info_typed": f"SELECT {_SHOP_COLS} FROM shop_info",
     "shop_info_json": f"SELECT {_SHOP_COLS} FROM shop_info",
     "user_pay_daily": "SELECT coalesce(user_id, '') AS user_id, shop_id, time_stamp, day FROM user_pay",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopscope.fixed import ACTIVITY_WEIGHT, SCORE_SCALE, SCORE_WEIGHT
 from shopscope.functions.clean import register_sql_functions
@@ -55,3 +56,19 @@ def popularity_sql(spark: SparkSession, shops: DataFrame, pays: DataFrame,
     city_params = ", ".join(f":city{i}" for i in range(len(cities)))
     text = POPULARITY_SQL.replace("{city_params}", city_params)
     return spark.sql(text, args=params)
+
+
+DAYS_SQL = "SELECT toDayStr(epoch_s) AS day, count(*) AS n FROM moments GROUP BY ALL"
+
+
+def days_sql(spark: SparkSession, moments: DataFrame) -> DataFrame:
+    """U1 in SQL: rows per day of a table with epoch seconds -> (day, n), days of UTC.
+
+    ``toDayStr`` formats in the session's zone, so the seconds are moved by that
+    zone's distance from UTC first and the days do not depend on the session.
+    """
+    register_sql_functions(spark)
+    wall = F.timestamp_seconds("epoch_s")
+    here = F.unix_timestamp(F.to_utc_timestamp(wall, spark.conf.get("spark.sql.session.timeZone")))
+    moments.select(here.alias("epoch_s")).createOrReplaceTempView("moments")
+    return spark.sql(DAYS_SQL)

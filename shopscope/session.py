@@ -20,6 +20,12 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # A selection beyond the broadcast bound joins by shuffle; a Bloom filter of
+    # its ids (at most 8 MB) then keeps other payments from being counted. Spark
+    # adds it for scans above its 10 GB default; the ids may be this large.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1024 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
     # Spark defaults the jobs rely on, set so a cluster default cannot turn
     # them off: partitioned writes are rebalanced with large values split
     # (sinks.write_result), and a round-robin spread sorts each input
@@ -65,10 +71,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    try:  # set on the context directly (setCheckpointDir) rather than in the conf
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # e.g. no SparkContext in a Spark Connect session
-        current = None
+    current = spark.sparkContext.getCheckpointDir()  # set on the context directly rather than in the conf
     if current:
         return current
     if fallback is None:

@@ -10,6 +10,8 @@ from shopscope.sources.lines import (
 )
 from shopscope.sources.readers import (
     ensure_min_partitions,
+    quarantined,
+    read_or_quarantine,
     read_pays,
     read_shops,
     read_tables,
@@ -25,6 +27,8 @@ __all__ = [
     "parse_shop_lines",
     "parse_view_json",
     "parse_view_lines",
+    "quarantined",
+    "read_or_quarantine",
     "read_pays",
     "read_shops",
     "read_tables",

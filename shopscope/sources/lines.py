@@ -12,6 +12,9 @@ strict in-range integer. ``bad_rows`` says what happens to the others:
 * ``"drop"`` – bad lines are skipped;
 * ``"keep"`` – bad lines stay, with the raw line in a ``_bad`` column
   (null on good lines) and unparsable integers as null.
+
+A null line is bad and reads as an empty one. ``reasons`` says of each bad
+line what is wrong with it.
 """
 
 from __future__ import annotations
@@ -82,7 +85,8 @@ def _parse_csv(lines: DataFrame, columns, int_columns, min_fields: int, exact_fi
     good = (n == exact_fields) if exact_fields else (n >= min_fields)
     for name in int_columns:
         good = good & is_int_text(raw[name])
-    return _apply_policy(staged, good, _typed_columns(raw, columns, int_columns), F.col("_line"), bad_rows, what)
+    return _apply_policy(staged, F.coalesce(good, F.lit(False)), _typed_columns(raw, columns, int_columns),
+                         F.coalesce("_line", F.lit("")), bad_rows, what)
 
 
 def _parse_json(lines: DataFrame, columns, int_columns, bad_rows: str, what: str, value_col: str) -> DataFrame:
@@ -98,7 +102,54 @@ def _parse_json(lines: DataFrame, columns, int_columns, bad_rows: str, what: str
     for name in int_columns:
         good = good & is_int_text(raw[name])
     return _apply_policy(staged, F.coalesce(good, F.lit(False)), _typed_columns(raw, columns, int_columns),
-                         F.col("_line"), bad_rows, what)
+                         F.coalesce("_line", F.lit("")), bad_rows, what)
+
+
+#: Columns of each kind of record, those that hold integers, and the least fields of a line.
+KINDS = {
+    "shop": (SHOP_COLUMNS, SHOP_INT_COLUMNS, SHOP_REQUIRED_FIELDS),
+    "pay": (LOG_COLUMNS, (), LOG_REQUIRED_FIELDS),
+    "view": (LOG_COLUMNS, (), LOG_REQUIRED_FIELDS),
+}
+
+
+def typed_records(records: DataFrame, kind: str, bad_rows: str) -> DataFrame:
+    """Rows of Spark's JSON source (all columns as text, and ``_corrupt_record``)
+    to typed rows. ``_bad`` has the raw line of one that is not JSON, and the
+    record as it was read where an integer is bad."""
+    columns, int_columns, _ = KINDS[kind]
+    raw = {name: F.col(name) for name in columns}
+    # the source wants another column beside the corrupt one to be read, whatever the caller selects
+    good = ~(F.col(_CORRUPT).isNotNull() & (F.coalesce(raw[columns[0]], F.lit("")) >= F.lit("")))
+    for name in int_columns:
+        good = good & is_int_text(raw[name])
+    line = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*columns))) if int_columns else F.col(_CORRUPT)
+    rows = _apply_policy(records, good, _typed_columns(raw, columns, int_columns), line, bad_rows, kind)
+    return _with_day(rows) if kind == "pay" else rows
+
+
+def reasons(lines: DataFrame, kind: str, fmt: str = "csv", value_col: str = "value",
+            required_fields: int | None = None) -> DataFrame:
+    """The bad lines among ``lines``, all their columns, with ``reason``: ``blank
+    line``, ``N fields`` (too few, or not the required number), ``not JSON``, or
+    ``not an integer:`` and the columns."""
+    columns, int_columns, least = KINDS[kind]
+    value = F.coalesce(F.col(value_col), F.lit(""))
+    if fmt == "csv":
+        parts = split_fields(value)
+        n = F.size(parts)
+        raw = {name: F.get(parts, i) for i, name in enumerate(columns)}
+        wrong = (n != required_fields) if required_fields else (n < least)
+        shape = F.when(value == "", F.lit("blank line")).when(wrong, F.concat(n.cast("string"), F.lit(" fields")))
+    else:
+        record = F.from_json(value, raw_string_schema(list(columns) + [_CORRUPT]),
+                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+        raw = {name: record.getField(name) for name in columns}
+        shape = F.when(F.trim(value) == "", F.lit("blank line")).when(
+            record.isNull() | record.getField(_CORRUPT).isNotNull(), F.lit("not JSON"))
+    odd = F.concat_ws(", ", *(F.when(~is_int_text(raw[name]), F.lit(name)) for name in int_columns))
+    reason = F.coalesce(shape, F.when(odd != "", F.concat(F.lit("not an integer: "), odd)))
+    return lines.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def _with_day(pays: DataFrame) -> DataFrame:

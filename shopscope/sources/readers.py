@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopscope.sources import lines as L
+from shopscope.sources.schema import raw_string_schema
 
 FORMATS = ("csv", "json")
 
@@ -19,31 +24,49 @@ _PARSERS = {
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster (falls back to the shuffle partition count)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # e.g. a Spark Connect session has no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Task slots of the cluster."""
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def ensure_min_partitions(df: DataFrame, min_partitions: int | None, *keys: str) -> DataFrame:
-    """At least ``min_partitions`` partitions (repartition only if fewer).
+    """At least ``min_partitions`` partitions of any table (repartition only if fewer).
 
-    A scan of many files already has many splits and is left as it is; the
-    repartition only happens for an input of few splits (a small or
-    unsplittable file, a single parquet row group). With ``keys`` the rows
-    are hash-partitioned on them, which costs no sort and can be reused by a
-    join or aggregation on those keys; without, round-robin.
+    With ``keys`` the rows are hash-partitioned on them, which a join or
+    aggregation on those keys can reuse; without, round-robin. The readers do
+    not use it: they ask the scan for more splits (S7), which moves no rows.
     """
-    if not min_partitions:
+    if not min_partitions or df.rdd.getNumPartitions() >= min_partitions:
         return df
+    return df.repartition(min_partitions, *keys) if keys else df.repartition(min_partitions)
+
+
+#: What a scan's splits are set by.
+SPLIT_COUNT, SPLIT_COST = "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"
+
+
+def split_scan(spark: SparkSession, load: Callable[[SparkSession], DataFrame], min_partitions: int | None) -> DataFrame:
+    """The table ``load`` reads, in at least ``min_partitions`` splits.
+
+    The files are split finer where they are read, so no row is shuffled. The
+    split settings are those of a session, so the scan is made in a session of
+    its own with the caller's settings, and named in the caller's by a view that
+    is dropped at once. A file that cannot be split (gzip) is one split, and
+    one of fewer lines than splits leaves some empty.
+    """
+    if not min_partitions:
+        return load(spark)
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(SPLIT_COUNT, str(int(min_partitions)))
+    own.conf.set(SPLIT_COST, "1")
+    view = f"scan_{uuid.uuid4().hex}"
+    load(own).createGlobalTempView(view)
     try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-    if splits < min_partitions:
-        return df.repartition(min_partitions, *keys) if keys else df.repartition(min_partitions)
-    return df
+        return spark.table(f"global_temp.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
 
 
 def spread_lines(lines: DataFrame, partitions: int) -> DataFrame:
@@ -61,18 +84,58 @@ def spread_lines(lines: DataFrame, partitions: int) -> DataFrame:
     return lines.repartition(max(partitions, lines.rdd.getNumPartitions()))
 
 
-def _read(spark: SparkSession, path, kind: str, fmt: str, bad_rows: str, min_partitions: int | None,
-          spread: bool = False, **kwargs) -> DataFrame:
+def _check_format(fmt: str) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
-    text = spark.read.text(path)
+
+
+def _read_json(spark: SparkSession, path, kind: str, bad_rows: str, min_partitions: int | None) -> DataFrame:
+    """JSON lines through Spark's JSON source: declared schema, corrupt lines in a column.
+
+    The source passes over blank lines; where they matter (``fail``, ``keep``) a
+    scan of the text adds them. A line that is an array of records gives its
+    records. ``_bad`` of a record with a bad integer is the record as it was read.
+    """
+    L._check_policy(bad_rows)
+    schema = raw_string_schema([*L.KINDS[kind][0], L._CORRUPT])
+    records = split_scan(
+        spark, lambda s: s.read.schema(schema).option("columnNameOfCorruptRecord", L._CORRUPT).json(path), min_partitions)
+    if bad_rows != "drop":
+        blank = spark.read.text(path).filter(F.trim("value") == "")
+        empty = [F.lit(None).cast("string").alias(f.name) for f in schema.fields[:-1]]
+        records = records.unionByName(blank.select(*empty, F.col("value").alias(L._CORRUPT)))
+    return L.typed_records(records, kind, bad_rows)
+
+
+def _read(spark: SparkSession, path, kind: str, fmt: str, bad_rows: str, min_partitions: int | None,
+          spread: bool = False, **kwargs) -> DataFrame:
+    _check_format(fmt)
+    if fmt == "json" and not spread:
+        return _read_json(spark, path, kind, bad_rows, min_partitions)
     if spread:
-        text = spread_lines(text, min_partitions or default_parallelism(spark))
+        text = spread_lines(spark.read.text(path), min_partitions or default_parallelism(spark))
     else:
-        text = ensure_min_partitions(text, min_partitions)
+        text = split_scan(spark, lambda s: s.read.text(path), min_partitions)
     return _PARSERS[(fmt, kind)](text, bad_rows=bad_rows, **kwargs)
 
 
+def quarantined(spark: SparkSession, path, kind: str, fmt: str = "csv", required_fields: int | None = None) -> DataFrame:
+    """The bad lines of the files: (file, line, reason). Together with
+    ``read_*(..., bad_rows="drop")`` every line is in one of the two tables
+    (but for JSON arrays of records, which the JSON source reads)."""
+    _check_format(fmt)
+    text = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    return L.reasons(text, kind, fmt, "line", required_fields).select("file", "line", "reason")
+
+
+def read_or_quarantine(spark: SparkSession, path, kind: str, quarantine: str, fmt: str = "csv",
+                       mode: str = "errorifexists", **kwargs) -> DataFrame:
+    """The good rows of the files; the bad lines are written as a table at
+    ``quarantine`` with their file and reason."""
+    quarantined(spark, path, kind, fmt, kwargs.get("required_fields")).write.mode(mode).parquet(quarantine)
+    return _read(spark, path, kind, fmt, "drop", kwargs.pop("min_partitions", None), **kwargs)
+
+
 def read_shops(spark: SparkSession, path, fmt: str = "csv", bad_rows: str = "fail",
                min_partitions: int | None = None, required_fields: int | None = None,
                spread: bool = False) -> DataFrame:

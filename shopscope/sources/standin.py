@@ -16,7 +16,7 @@ downstream are read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.functions.clean import pay_day
@@ -114,3 +114,74 @@ def to_csv_lines(df: DataFrame, columns) -> DataFrame:
 def to_json_lines(df: DataFrame, columns) -> DataFrame:
     """Render rows as JSON lines (numbers bare, as a JSON writer emits them)."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in columns])).alias("value"))
+
+
+# Lines of the file queries. Beside each row's own line they hold lines derived
+# from some rows, one kind for each reading rule; the oracle states them again.
+
+def _lines(df: DataFrame, *lines: tuple[Column | None, Column]) -> DataFrame:
+    """One row for each line whose condition holds (None: always)."""
+    found = F.array(*(line if when is None else F.when(when, line) for when, line in lines))
+    return df.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("value"))
+
+
+def _joined(*parts) -> Column:
+    return F.concat_ws(",", *(F.coalesce(p.cast("string"), F.lit("")) if isinstance(p, Column) else F.lit(p) for p in parts))
+
+
+def shop_file_lines(shops: DataFrame) -> DataFrame:
+    """Every shop; a nine-field copy (n...) where location_id % 5 = 0; one with blank
+    integers and a blank text (b...) where % 3 = 0; bad: an eight-field line (e...)
+    where % 4 = 0, an average spend of 12x (x...) where % 4 = 1, an empty line
+    where shop_level = 0."""
+    c = {name: F.col(name) for name in shops.columns}
+    tail = [c[n] for n in ("score", "comment_cnt", "shop_level", "cate_1_name", "cate_2_name", "cate_3_name")]
+
+    def named(letter: str) -> Column:
+        return F.concat(F.lit(letter), c["shop_id"])
+
+    return _lines(
+        shops, (None, _joined(*c.values())),
+        (c["location_id"] % 5 == 0, _joined(named("n"), c["city_name"], c["location_id"], c["per_pay"], *tail[:-1])),
+        (c["location_id"] % 3 == 0, _joined(named("b"), c["city_name"], "", c["per_pay"], "", "", c["shop_level"], c["cate_1_name"], "", c["cate_3_name"])),
+        (c["location_id"] % 4 == 0, _joined(named("e"), c["city_name"], c["location_id"], c["per_pay"], *tail[:-2])),
+        (c["location_id"] % 4 == 1, _joined(named("x"), c["city_name"], c["location_id"], "12x", *tail)),
+        (c["shop_level"] == 0, F.lit("")))
+
+
+def pay_file_lines(pays: DataFrame) -> DataFrame:
+    """Every payment, with a tab before the time stamp where the day ends in 7;
+    bad: a line without the time stamp where it ends in 15."""
+    stamp = F.when(F.col("day").endswith("7"), F.concat(F.lit("\t"), "time_stamp")).otherwise(F.col("time_stamp"))
+    return _lines(pays, (None, _joined(F.col("user_id"), F.col("shop_id"), stamp)),
+                  (F.col("day").endswith("15"), _joined(F.col("user_id"), F.col("shop_id"))))
+
+
+def view_file_lines(views: DataFrame) -> DataFrame:
+    """Every page view; bad: an empty line where shop_id ends in 3, a line of commas where it ends in 4."""
+    return _lines(views, (None, _joined(*(F.col(n) for n in ("user_id", "shop_id", "time_stamp")))),
+                  (F.col("shop_id").endswith("3"), F.lit("")), (F.col("shop_id").endswith("4"), F.lit(",,")))
+
+
+def shop_file_records(shops: DataFrame) -> DataFrame:
+    """Every shop, its numbers quoted where location_id % 2 = 0; a record with four
+    keys (k...) where % 3 = 0; bad: a score of 4x (x...) where % 4 = 1, a line cut
+    off after its first key where % 4 = 0."""
+    c = {name: F.col(name) for name in shops.columns}
+    quoted = F.to_json(F.struct(*(c[n].cast("string").alias(n) for n in c)))
+
+    def named(letter: str) -> Column:
+        return F.concat(F.lit(letter), c["shop_id"]).alias("shop_id")
+
+    return _lines(
+        shops, (None, F.when(c["location_id"] % 2 == 0, quoted).otherwise(F.to_json(F.struct(*c.values())))),
+        (c["location_id"] % 3 == 0, F.to_json(F.struct(named("k"), c["per_pay"], c["cate_1_name"], F.lit("").alias("comment_cnt")))),
+        (c["location_id"] % 4 == 1, F.to_json(F.struct(named("x"), F.lit("4x").alias("score")))),
+        (c["location_id"] % 4 == 0, F.concat(F.lit('{"shop_id": "'), c["shop_id"], F.lit('", "per_pay":'))))
+
+
+def pay_file_records(pays: DataFrame) -> DataFrame:
+    """Every payment (no key for a missing user); bad: a line that is not JSON where
+    the day ends in 15, an empty line where it ends in 25."""
+    return _lines(pays, (None, F.to_json(F.struct("user_id", "shop_id", "time_stamp"))),
+                  (F.col("day").endswith("15"), F.concat(F.lit("payment at "), "shop_id")), (F.col("day").endswith("25"), F.lit("")))

@@ -58,7 +58,8 @@ def test_exists_gate_is_a_subquery_not_a_join(all_plans):
 def test_filters_and_columns_reach_the_scan(spark):
     shops, pays, _ = standin_tables(spark, SF_SMALL)
     plan = plan_text(J.popularity_top(shops, pays, STANDIN_CITIES, STANDIN_KEYWORD))
-    assert "PushedFilters: [In(r_name, [AFRICA,AMERICA,ASIA])" in plan
+    # the selection is evaluated once, by the job that writes it
+    assert "PushedFilters: [In(r_name, [AFRICA,AMERICA,ASIA])" in plan_text(J.select_shops(shops, STANDIN_CITIES, STANDIN_KEYWORD))
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
     turnover = plan_text(J.turnover_top(shops, pays))
     assert "ReadSchema: struct<l_suppkey:bigint>" in turnover
