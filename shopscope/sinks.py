@@ -63,7 +63,7 @@ def _least_partition(spark: SparkSession):
     try:
         yield
     finally:
-        spark.conf.set(least, set_before)
+        spark.conf.set(least, set_before) if set_before else spark.conf.unset(least)
 
 
 def _bytes(size: str) -> int:
