@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopscope.shared import materialised, shared_folder
+
 #: Text bytes that one step inside a task works on at once (a longer text is a batch of its own).
 BATCH_BYTES = 4 << 20
 
@@ -37,15 +39,8 @@ def importable(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a new
-    temporary one only where it is unset (tests on one machine)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shopscope-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return path
+    """The folder all executors share; a local one only for a local master without the setting."""
+    return shared_folder(spark)
 
 
 def shared_uri(spark: SparkSession) -> str:
@@ -58,10 +53,28 @@ def shared_uri(spark: SparkSession) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads it: lineage
-    ends there, and a lost executor costs no earlier stage again."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    ends there, and a lost executor costs no earlier stage again. The table
+    goes when the driver's JVM ends."""
+    return materialised(df, name)[0]
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, longer where one of the tables has such a column."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def released() -> None:
+    """Hands memory that a task's worker no longer uses back to the system: the
+    worker lives on for later tasks, and so would what the allocators keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -85,13 +98,23 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
 def hash_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
     """About ``per_label`` rows of each label, all where there are fewer, chosen
     by a hash of the id; ``weight`` is how many rows one chosen row stands for. An
-    id is chosen once, however many rows have it. Rows need doc_id and the label; only counts go to the driver."""
+    id is chosen once, with its largest label, however many rows have it (the
+    null id too). Rows need doc_id and the label; only counts go to the driver.
+    -> doc_id, the label, weight."""
+    rows = rows.groupBy("doc_id").agg(F.max(label).alias(label))
     counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     weight = F.lit(1.0)
     for value, n in counts.items():
         weight = F.when(F.col(label) == F.lit(value), F.lit(max(1.0, n / per_label))).otherwise(weight)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    return rows.withColumn("weight", weight).filter(share * F.col("weight") < 1).dropDuplicates(["doc_id"])
+    return rows.withColumn("weight", weight).filter(share * F.col("weight") < 1)
+
+
+def texts_of(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(the columns of ``chosen``, one row an id, and text): each chosen id with the
+    least of its rows' texts, whatever the partitioning; a null id is not found."""
+    found = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    return found.groupBy(*chosen.columns).agg(F.min("text").alias("text"))
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

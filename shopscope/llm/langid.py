@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import crc_mod, hash_sample, text_slices
+from shopscope.llm.common import crc_mod, hash_sample, text_slices, texts_of
 
 #: Bound on the training documents of each language (about; by hash).
 PER_LANGUAGE = 160
@@ -245,11 +245,45 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learns from text and lang of documents that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2))
-    sample = hash_sample(known, "lang", per_language).select("doc_id", "text", "lang").collect()  # bounded by per_language
-    sample.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text))
+    # ids of at most per_language rows a language; an id with several rows has its largest lang and least text
+    chosen = hash_sample(known.select("doc_id", "lang"), "lang", per_language).select("doc_id", "lang")
+    sample = texts_of(known, F.broadcast(chosen)).collect()
+    sample.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text for r in sample], [r.lang for r in sample])
 
 
+def runs(docs: DataFrame, model: Model) -> DataFrame:
+    """The stretches of one language in every text: doc_id, run (from 0), first and
+    last word, lang, score (mean probability of that language over the run's words
+    with letters). Words without letters belong to the run they stand in; a text
+    without letters has no run."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", "run", "first_word", "last_word", "lang", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for part in text_slices(batch):
+                p, letters, counts = model.words(part.column("text"))
+                own = np.flatnonzero(letters)
+                if not len(own):
+                    continue
+                doc = np.repeat(np.arange(len(counts)), counts)[own]
+                best = p[own].argmax(axis=1)
+                begin = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (best[1:] != best[:-1])]))
+                ends = np.append(begin[1:], len(own))
+                offsets = (np.cumsum(counts) - counts)[doc[begin]]
+                score = np.add.reduceat(p[own, best], begin) / (ends - begin)
+                number = np.arange(len(begin)) - np.searchsorted(doc[begin], doc[begin])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(doc[begin])), pa.array(number, pa.int64()), pa.array(own[begin] - offsets, pa.int64()),
+                     pa.array(own[ends - 1] - offsets, pa.int64()), pa.array([model.languages[b] for b in best[begin]], pa.string()),
+                     pa.array(np.clip(score, 0, 1), pa.float64())], names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, run long, first_word long, last_word long, lang string, score double")
+
+
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

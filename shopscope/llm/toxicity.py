@@ -6,7 +6,9 @@ mark label 1 become the lexicon: at least ``LEAST_ROWS`` toxic rows, whatever
 the size of the corpus, and a log-likelihood ratio that chance rarely reaches.
 Word variants that clean training rows use are noted as harmless. A logistic
 regression over a handful of counts of hits gives the score; it learns from at
-most about ``PER_CLASS`` rows of each class, chosen by a hash of their id.
+most about ``PER_CLASS`` rows of each class, chosen by a hash of their id, and
+from a copy of each with one letter of every spelled hit changed: what a
+misspelled hit weighs is learned from misspelled hits, toxic and clean ones.
 
 Matching: the lexicon is a trie; the Levenshtein automata of all its words are
 run over it together. A state is the set of (trie node, edits so far); states
@@ -21,13 +23,15 @@ address) from quotation (quotation marks around it, words of reporting); the
 three kinds of hits are counted apart.
 
 A null or empty text scores as a text without hits. A null id counts as the
-empty text, whose remainder holds it out; repeated rows are scored each. With
+empty text, whose remainder holds it out; repeated rows are scored each. An id
+with several rows or labels is learned from once: its least text, its larger label. With
 no labelled training rows every score is 0.5; with one class only, that class's.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import crc_mod, hash_sample, saved, text_slices
+from shopscope.llm.common import crc_mod, hash_sample, released, saved, text_slices, texts_of
 
 #: Bound on the labelled rows of each class that the regression learns from (about; by hash).
 PER_CLASS = 4000
@@ -54,7 +58,7 @@ REPORTING = frozenset("said says wrote called quote quoted quoting word term dit
 OPEN, CLOSE = "\"“«„‚‘'", "\"”»“’‘'"
 _EDGE = re.compile(r"^\W+|\W+$")
 #: Words, and trie nodes in automaton states, remembered by a worker before it starts anew.
-REMEMBERED, HELD = 300_000, 2_000_000
+REMEMBERED, HELD = 150_000, 400_000
 
 
 def edits_allowed(length: int) -> int:
@@ -94,6 +98,11 @@ class Lexicon:
         self._forget()
         self._seen: dict[str, int] = {}
 
+    def forget(self) -> None:
+        """Drops what was remembered of words and states; both are made again when needed."""
+        self._seen = {}
+        self._forget()
+
     def _forget(self) -> None:
         self._states: dict[tuple, int] = {}
         self._sets: list[tuple] = []
@@ -160,14 +169,20 @@ class Lexicon:
 
     def kind(self, token: str) -> int:
         """0 no hit, 1 a lexicon word, 2 a misspelled one or a misspelled stem, 3 another word on a lexicon stem."""
+        return min(found, 2) if (found := self.family(token)) != 3 else 3
+
+    def family(self, token: str) -> int:
+        """As ``kind``, but a word on a misspelled stem is 4."""
         word = _EDGE.sub("", token)
         d, stem = self.match(word)
         if d == 0 or stem == 0:
             return 1 if d == 0 else 3
-        return 2 if (d > 0 or stem > 0) and word not in self.harmless else 0
+        if (d > 0 or stem > 0) and word not in self.harmless:
+            return 2 if d > 0 else 4
+        return 0
 
     def hits(self, tokens: list[str]) -> list[tuple[int, int]]:
-        """(position, kind) of the hits among lower-case tokens."""
+        """(position, family) of the hits among lower-case tokens."""
         if len(self._seen) > REMEMBERED:
             self._seen = {}
         seen = self._seen
@@ -176,7 +191,7 @@ class Lexicon:
             if token not in seen:
                 if self._held > HELD:
                     self._forget()
-                seen[token] = self.kind(token)
+                seen[token] = self.family(token)
         hot = {t: k for t in distinct if (k := seen[t])}
         return [(i, hot[t]) for i, t in enumerate(tokens) if t in hot] if hot else []
 
@@ -191,7 +206,19 @@ def _context(tokens: list[str], i: int) -> int:
     return 2 if plain & REPORTING else 1 if plain & ADDRESS else 0
 
 
-FEATURES = 13
+def misspelled(text: str | None, lexicon: Lexicon) -> str:
+    """The text in lower case with one letter of every hit that is spelled as in the lexicon replaced."""
+    tokens = (text or "").lower().split()
+    for i, kind in lexicon.hits(tokens):
+        if kind % 2:
+            token = tokens[i]
+            begin = len(token) - len(_EDGE.sub("", token)) if not token[0].isalpha() else 0
+            at = min(begin + zlib.crc32(token.encode()) % max(1, len(_EDGE.sub("", token))), len(token) - 1)
+            tokens[i] = token[:at] + ("x" if token[at] != "x" else "q") + token[at + 1:]
+    return " ".join(tokens)
+
+
+KINDS, FEATURES = 4, 17
 
 
 def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
@@ -201,11 +228,11 @@ def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     hits = lexicon.hits(tokens)
     for i, kind in hits:
         x[3 * (kind - 1) + _context(tokens, i)] += 1
-    by_kind = x[:9].reshape(3, 3).sum(axis=1)
+    by_kind = x[:3 * KINDS].reshape(KINDS, 3).sum(axis=1)
     if hits:
-        x[9] = 100 * len(hits) / len(tokens)
-    x[10:13] = by_kind >= 2
-    x[:10] = np.log1p(x[:10])
+        x[12] = 100 * by_kind[:3].sum() / len(tokens)
+    x[13:] = by_kind >= 2
+    x[:13] = np.log1p(x[:13])
     return x
 
 
@@ -236,22 +263,29 @@ def _terms(text: str) -> Iterator[tuple[str, bool]]:
 
 
 def term_counts(labelled: DataFrame) -> DataFrame:
-    """(term, stem, pos, neg): how many rows of each label have the term; all rows under the null term."""
+    """(term, stem, pos, neg, neg0, neg1): how many rows of each label have the
+    term, and of label 0 in either half of the rows; all rows under the null term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
                 found: dict[tuple[str | None, bool], list[int]] = {}
-                for text, label in zip(*(part.column(c).to_pylist() for c in ("text", "toxic"))):
+                for text, label, half in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "half"))):
                     for term in ((None, False), *_terms(text or "")):
-                        found.setdefault(term, [0, 0])[1 - label] += 1
+                        found.setdefault(term, [0, 0, 0])[0 if label else 1 + half] += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t for t, _ in found], pa.string()), pa.array([s for _, s in found], pa.bool_()),
-                     pa.array([v[0] for v in found.values()], pa.float64()), pa.array([v[1] for v in found.values()], pa.float64())],
-                    ["term", "stem", "pos", "neg"])
+                     *(pa.array([v[k] for v in found.values()], pa.float64()) for k in range(3))], ["term", "stem", "pos", "neg0", "neg1"])
 
-    rows = labelled.select("text", "toxic").mapInArrow(run, "term string, stem boolean, pos double, neg double")
-    return rows.groupBy("term", "stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    rows = labelled.select("text", "toxic", _half().alias("half")).mapInArrow(
+        run, "term string, stem boolean, pos double, neg0 double, neg1 double")
+    sums = rows.groupBy("term", "stem").agg(*(F.sum(c).alias(c) for c in ("pos", "neg0", "neg1")))
+    return sums.withColumn("neg", F.col("neg0") + F.col("neg1"))
+
+
+def _half() -> Column:
+    """0 or 1, by a hash of the id."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
 
 
 def _ratio(pos: float, neg: float) -> Column:
@@ -262,7 +296,17 @@ def _ratio(pos: float, neg: float) -> Column:
 
 
 def _lexicon(counts: DataFrame, pos: float, neg: float) -> Lexicon:
-    """The entries that mark label 1, best first as far as ``ENTRIES``; then the harmless near words among the counts."""
+    """The lexicon alone, of counts without halves."""
+    return _lexicons(counts.withColumn("neg0", F.col("neg")).withColumn("neg1", F.lit(0.0)), pos, neg)[0]
+
+
+def _lexicons(counts: DataFrame, pos: float, neg: float) -> tuple[Lexicon, list[Lexicon]]:
+    """The entries that mark label 1, best first as far as ``ENTRIES``; then the harmless near words among the counts.
+
+    Also the lexicon as each half of the rows may see it while weights are
+    learned: a row's own clean words must not count as known to be harmless, or
+    the near words of unseen texts would look like abuse.
+    """
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
     counts = counts.filter(F.col("term").isNotNull())
     enough = (F.col("pos") >= LEAST_ROWS) & (_ratio(pos, neg) >= LEAST_RATIO)
@@ -285,9 +329,10 @@ def _lexicon(counts: DataFrame, pos: float, neg: float) -> Lexicon:
 
     # words within the automata that clean rows use, the most used first
     clean = counts.filter(~F.col("stem") & (F.col("neg") > 0) & (F.col("neg") * pos > 0.2 * F.col("pos") * neg))
-    harmless = [r.term for r in clean.select("term", "neg").mapInArrow(near, "term string, neg double").orderBy(
-        F.desc("neg"), "term").limit(HARMLESS).collect()]
-    return Lexicon(words, stems, frozenset(harmless))
+    harmless = clean.select("term", "neg", "neg0", "neg1").mapInArrow(near, "term string, neg double, neg0 double, neg1 double").orderBy(
+        F.desc("neg"), "term").limit(HARMLESS).collect()
+    others = [frozenset(r.term for r in harmless if r[f"neg{1 - half}"] > 0) for half in (0, 1)]
+    return Lexicon(words, stems, frozenset(r.term for r in harmless)), [Lexicon(words, stems, o) for o in others]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -310,28 +355,31 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     """Learns from labelled documents outside the held-out fifth."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
-        F.col("toxic").isin(0, 1) & (crc_mod(F.col("doc_id"), 5) != 0)).dropDuplicates(["doc_id"])
+        F.col("toxic").isin(0, 1) & (crc_mod(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = hash_sample(known, "toxic", per_class)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the chosen ids are bounded by per_class, so no text is shuffled but theirs
-    sample = saved(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
+    sample = saved(texts_of(texts, F.broadcast(chosen)), "labelled")
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
     pos, neg = totals.get(1, 0.0), totals.get(0, 0.0)
     if not pos or not neg:
         return Model(Lexicon([], []), bias=30.0 if pos else -30.0 if neg else 0.0)
     # every labelled text goes to its label once
-    counts = saved(term_counts(texts.join(known, "doc_id").dropDuplicates(["doc_id"])), "terms")
+    counts = saved(term_counts(texts_of(texts, known)), "terms")
     every = counts.filter(F.col("term").isNull()).first()
-    model = Model(_lexicon(counts, every.pos, every.neg))
-    shared = spark.sparkContext.broadcast(model)
+    lexicon, halves = _lexicons(counts, every.pos, every.neg)
+    model, shared = Model(lexicon), spark.sparkContext.broadcast(halves)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                x = [features(t, shared.value.lexicon).tolist() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), part.column("toxic"), part.column("weight")], ["x", "toxic", "weight"])
+                texts = [(t, shared.value[half]) for t, half in zip(part.column("text").to_pylist(), part.column("half").to_pylist())]
+                for spelled in (lambda t, _: t, misspelled):
+                    x = [features(spelled(t, lexicon), lexicon).tolist() for t, lexicon in texts]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.list_(pa.float64())), part.column("toxic"), part.column("weight")], ["x", "toxic", "weight"])
 
-    rows = sample.select("text", "toxic", "weight").mapInArrow(count, "x array<double>, toxic int, weight double")
+    rows = sample.select("text", "toxic", "weight", _half().alias("half")).mapInArrow(count, "x array<double>, toxic int, weight double")
     # equal rows of counts are one row with their weight: the driver gets at most the bounded sample
     rows = rows.groupBy("x", "toxic").agg(F.sum("weight").alias("weight")).orderBy("x", "toxic").collect()
     model.weights, model.bias = logistic(
@@ -348,6 +396,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             for part in text_slices(batch):
                 score = shared.value.score(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
+        shared.value.lexicon.forget()
+        released()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double").select(
@@ -362,7 +412,9 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, batch.schema.names[at]):
                 yield part.filter(pa.array(shared.value.score(part.column(at).to_pylist()) < 0.5))
+        shared.value.lexicon.forget()  # the worker lives on for the next stage
+        released()
 
     return docs.mapInArrow(run, docs.schema)
