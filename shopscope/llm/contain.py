@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import saved, text_slices
+from shopscope.llm.common import free_name, saved, text_slices
 
 WIDTH, THRESHOLD = 5, 0.8
 #: Bits of the table that the documents' shingle values pass first (2 MB, fixed).
@@ -160,5 +160,6 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    bad = matches(docs, items, width, threshold).select(F.col("doc").alias("_bad")).distinct()
-    return docs.join(bad, F.sha2(docs["text"].cast("string"), 256) == F.col("_bad"), "left_anti")
+    key = free_name("_bad", docs)
+    bad = matches(docs, items, width, threshold).select(F.col("doc").alias(key)).distinct()
+    return docs.join(bad, F.sha2(docs["text"].cast("string"), 256) == bad[key], "left_anti")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import saved, text_slices
+from shopscope.llm.common import free_name, saved, text_slices
 
 #: Residents aimed at in one shard, and below which a shard compares directly.
 SHARD, DIRECT = 32_768, 192
@@ -257,5 +257,6 @@ def keep_one(docs: DataFrame, width: int = 3, reach: int = 3) -> DataFrame:
     """
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     kept = _rooted(docs, width, reach, keyed=True).groupBy("group_fp").agg(F.min(row).alias("row"))
-    return docs.withColumn("_row_key", _row_key()).join(
-        kept.select(F.col("row.row_key").alias("_row_key")), "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    key = free_name("_row_key", docs)
+    return docs.withColumn(key, _row_key()).join(
+        kept.select(F.col("row.row_key").alias(key)), key, "left_semi").dropDuplicates([key]).drop(key)

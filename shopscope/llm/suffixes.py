@@ -39,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import ranges, saved, text_slices
+from shopscope.llm.common import free_name, ranges, released, saved, text_slices
 from shopscope.llm.contain import TABLE_BITS, bit_table
 
 LENGTH = 400
 #: Segments of one key that a shard may take, and segments of one shard (their
 #: keys are numbered in 16 bits).
-HOT, SEGMENTS = 20_000, 40_000
+HOT, SEGMENTS = 20_000, 10_000
+#: Texts, or segments, a task remembers, only to send fewer copies of them.
+MET = 50_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -135,7 +137,7 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
                 for text in part.column("text").to_pylist():
                     if len(text) < length or (name := _name(text)) in met:
                         continue
-                    if len(met) < 150_000:
+                    if len(met) < MET:
                         met.add(name)
                     at, key = anchors(np.frombuffer(text, np.uint8), length)
                     names.append(name)
@@ -148,6 +150,8 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [name, pa.array(np.concatenate(ats).astype(np.int32)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places))],
                         ["name", "at", "key", "place"])
+        met.clear()
+        released()
 
     return _named(docs).select("text").mapInArrow(run, "name binary, at int, key long, place long")
 
@@ -172,14 +176,16 @@ def segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         left, data = _cut(text, at, length)
                         own = hashlib.blake2b(data, digest_size=16, salt=f"{left}".encode()).digest()
                         times = met.get(own, 0)
-                        if len(met) < 150_000 or times:
+                        if len(met) < MET or times:
                             met[own] = times + 1
                         for column, x in zip(out, (key, own, name, at, left, data if times < 2 else None)):
                             column.append(x)
-                    if len(out[0]) > 20_000:
+                    if len(out[0]) > 5_000:
                         yield _batch(out)
                         out = [[], [], [], [], [], []]
                 yield _batch(out)
+        met.clear()
+        released()
 
     def _batch(out: list[list]) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
@@ -191,22 +197,29 @@ def segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, segment binary, name binary, at int, left int, data binary")
 
 
-def repeated_windows(keys: np.ndarray, lefts: np.ndarray, data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(keys: np.ndarray, lefts: np.ndarray, data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last column at which a repeated window starts, for each segment
-    of a shard (-1 for none). Column 0 is the leftmost byte a segment can have."""
-    m, reach = len(data), length - key_length(length)
+    of a shard (-1 for none); ``data`` has the segments' bytes in a row. Column 0
+    is the leftmost byte a segment can have."""
+    m, reach = len(keys), length - key_length(length)
     width = reach + length
-    size = np.array([len(d) for d in data])
-    columns = np.full((m, width), 256, np.uint16)  # 256: no byte there, sorted last, equal to nothing
-    flat = np.frombuffer(b"".join(data), np.uint8)
-    columns.reshape(-1)[ranges(np.arange(m) * width + reach - lefts, size)] = flat
-    columns = np.ascontiguousarray(columns.T)
+    begin = reach - lefts.astype(np.int32)  # the column a segment begins at
+    end = begin + sizes.astype(np.int32)
+    columns = np.zeros((width, m), np.uint8)  # symbols column by column; where a segment has none, see below
+    starts = np.cumsum(sizes) - sizes
+    for i in range(0, m, 4096):  # in parts, so that the places of the bytes stay few
+        part = slice(i, min(i + 4096, m))
+        count = sizes[part]
+        row = np.repeat(np.arange(part.start, part.stop), count)
+        columns[ranges(begin[part].astype(np.int64), count), row] = data[starts[i]:starts[i] + int(count.sum())]
     group = np.unique(keys, return_inverse=True)[1].astype(np.uint16)
     order = np.argsort(group, kind="stable")
     common = np.zeros(m, np.int32)  # common prefix of a suffix with the one before it in order
-    first, last = np.full(m, -1), np.full(m, -1)
+    first, last = np.full(m, -1, np.int32), np.full(m, -1, np.int32)
     for c in reversed(range(width)):
-        symbol = columns[c][order]
+        symbol = columns[c].astype(np.uint16)
+        symbol[(c < begin) | (c >= end)] = 256  # no byte there: sorted last, equal to nothing
+        symbol = symbol[order]
         by_symbol = np.argsort(symbol, kind="stable")
         step = by_symbol[np.argsort(group[order][by_symbol], kind="stable")]
         new = order[step]
@@ -235,33 +248,44 @@ def repeated_windows(keys: np.ndarray, lefts: np.ndarray, data: list[bytes], len
 
 
 def _sorted_shards(cold: DataFrame, length: int) -> DataFrame:
-    """(key, segment, first, last) of the segments with a repeated window."""
+    """(key, segment, first, last) of the segments with a repeated window.
+
+    A shard is held as Arrow buffers, at most ``SEGMENTS`` of them and the rest
+    of the last key, so a worker holds a symbol matrix of a few dozen MB at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, name, left, data = [], [], [], []
-
-        def shard(n: int) -> pa.RecordBatch:
-            first, last = repeated_windows(np.array(key[:n], np.int64), np.array(left[:n]), data[:n], length)
-            on = np.flatnonzero(first >= 0)
-            done = pa.RecordBatch.from_arrays(
-                [pa.array([key[i] for i in on], pa.int64()), pa.array([name[i] for i in on], pa.binary()),
-                 pa.array(first[on], pa.int32()), pa.array(last[on], pa.int32())], ["key", "segment", "first", "last"])
-            for column in (key, name, left, data):
-                del column[:n]
-            return done
+        held: list[pa.RecordBatch] = []
+        rows = 0
+
+        def shard(table: pa.RecordBatch) -> pa.RecordBatch:
+            texts = table.column("data")
+            offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+            data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+            first, last = repeated_windows(table.column("key").to_numpy(), table.column("left").to_numpy(), data, np.diff(offsets), length)
+            on = pa.array(np.flatnonzero(first >= 0))
+            found = table.select(["key", "segment"]).take(on)
+            return pa.RecordBatch.from_arrays(
+                [*found.columns, pa.array(first).take(on), pa.array(last).take(on)], ["key", "segment", "first", "last"])
 
         for batch in batches:  # sorted by key: a shard ends where a key does
-            for column, values in zip((key, name, left, data), (batch.column(c).to_pylist() for c in ("key", "segment", "left", "data"))):
-                column.extend(values)
-            while len(key) > SEGMENTS:
-                n = SEGMENTS
-                while n < len(key) and key[n] == key[n - 1]:
-                    n += 1
-                if n == len(key):
-                    break
-                yield shard(n)
-        if key:
-            yield shard(len(key))
+            for k in range(0, batch.num_rows, SEGMENTS):
+                held.append(batch.slice(k, SEGMENTS))
+                rows += held[-1].num_rows
+                if rows <= SEGMENTS:
+                    continue
+                whole = pa.concat_batches(held)
+                key = whole.column("key").to_numpy()
+                ends = np.flatnonzero(key[1:] != key[:-1]) + 1  # places where a new key begins
+                if len(ends):  # up to the last of them: the key that is not over yet stays
+                    n = int(ends[-1])
+                    yield shard(whole.slice(0, n))
+                    whole = pa.concat_batches([whole.slice(n)])
+                held, rows = [whole], whole.num_rows
+        if rows:
+            yield shard(pa.concat_batches(held))
+        held = []
+        released()
 
     ordered = cold.select("key", "segment", "left", "data").repartition("key").sortWithinPartitions("key")
     return ordered.mapInArrow(run, "key long, segment binary, first int, last int")
@@ -349,14 +373,16 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _split(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """The rows surely without repeated spans; and the others, with ``_spans`` (null or a list)."""
+    """The rows surely without repeated spans; and the others, with the spans as last column (null or a list)."""
     spans = saved(repeated_spans(docs, length), "spans")
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
-    rows = docs.withColumn("_spans_of", _name_of(text)).withColumn("_bit_of", F.xxhash64("_spans_of"))
+    of, bit, found_as = (free_name(n, docs) for n in ("_spans_of", "_bit_of", "_spans"))
+    rows = docs.withColumn(of, _name_of(text)).withColumn(bit, F.xxhash64(of))
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(spans.select(F.xxhash64("name").alias("h"))))
-    plain = chosen(rows, bits, False).drop("_spans_of", "_bit_of")
-    found = spans.select(F.col("name").alias("_spans_of"), F.col("spans").alias("_spans"))
-    return plain, chosen(rows, bits, True).join(found, "_spans_of", "left").drop("_spans_of", "_bit_of")
+    plain = chosen(rows, bits, False).drop(of, bit)
+    found = spans.select(F.col("name").alias(of), F.col("spans").alias(found_as))
+    others = chosen(rows, bits, True).join(found, of, "left")
+    return plain, others.select(*(others[f"`{c}`"] for c in docs.columns), found_as)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -392,14 +418,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     columns, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, found in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                if text is not None and found:
-                    text = _kept(text.encode(), merged([(x["start"], x["end"]) for x in found])).decode("utf-8", "ignore")
-                texts.append(text)
-            arrays = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays(arrays, columns)
+        for whole in batches:
+            for batch in text_slices(whole, whole.schema.names[at]):
+                texts = []
+                for text, found in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                    if text is not None and found:
+                        text = _kept(text.encode(), merged([(x["start"], x["end"]) for x in found])).decode("utf-8", "ignore")
+                    texts.append(text)
+                arrays = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
+                yield pa.RecordBatch.from_arrays(arrays, columns)
+        released()
 
     others = others.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)
     if "n_chars" in columns:
