@@ -11,8 +11,8 @@ and renamed, so a task that runs again leaves the same file.
 
 File layout: magic, counts, then sections (document ids, their lengths, zeros
 per plane, planes) each compressed. A null doc_id is stored by a flag; a null
-text is an empty one and holds only the end id. Documents with equal ids stand
-next to each other, ordered by text. An empty table gives no files.
+text is an empty one and holds only the end id. Documents with equal ids are
+ordered by a hash of their token ids. An empty table gives no files.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import saved, shared_uri, text_slices
+from shopscope.llm.common import BATCH_BYTES, released, saved, shared_uri, text_slices
 from shopscope.llm.encode import WORD_BPE, encoder
 
 FILE_TOKENS = 4_000_000
@@ -64,6 +64,35 @@ class Plane:
         return block * _BLOCK + int(np.flatnonzero(bits == bit)[k - int(before[block])])
 
 
+    def ranks(self, at: np.ndarray) -> np.ndarray:
+        """Ones before each position."""
+        block = at // _BLOCK
+        width = _BLOCK // 8
+        padded = np.append(self.packed, np.zeros(width + 1, np.uint8))
+        byte = at >> 3
+        out = self.directory[block].copy()
+        for k in range(0, len(at), 4096):  # a block's bytes for each position, in parts
+            part = slice(k, k + 4096)
+            places = (block[part] * width)[:, None] + np.arange(width)
+            ones = np.bitwise_count(padded[np.minimum(places, len(padded) - 1)])
+            out[part] += (ones * (places < byte[part][:, None])).sum(axis=1, dtype=np.int64)
+        return out + np.bitwise_count(padded[byte] & ((1 << (at & 7)) - 1).astype(np.uint8))
+
+    def selects(self, bit: int, ks: np.ndarray) -> np.ndarray:
+        """Positions of the k-th such bits."""
+        before = self.directory if bit else np.arange(len(self.directory)) * _BLOCK - self.directory
+        block = np.searchsorted(before, ks, side="right") - 1
+        width = _BLOCK // 8
+        padded = np.append(self.packed, np.zeros(width, np.uint8))
+        out = np.empty(len(ks), np.int64)
+        for k in range(0, len(ks), 4096):
+            part = slice(k, k + 4096)
+            bits = np.unpackbits(padded[(block[part] * width)[:, None] + np.arange(width)], axis=1, bitorder="little") == bit
+            rank = (ks[part] - before[block[part]]) + 1
+            out[part] = block[part] * _BLOCK + (np.cumsum(bits, axis=1) >= rank[:, None]).argmax(axis=1)
+        return out
+
+
 class WaveletMatrix:
     """Planes from the highest bit down; see the module text."""
 
@@ -74,10 +103,11 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
         planes, zeros = [], []
         for level in reversed(range(levels)):
-            bits = (ids >> level) & 1 != 0
+            bits = (ids & ids.dtype.type(1 << level)) != 0
             planes.append(Plane(np.packbits(bits, bitorder="little"), len(ids)))
-            zeros.append(len(ids) - int(bits.sum()))
-            ids = np.concatenate([ids[~bits], ids[bits]])
+            zeros.append(len(ids) - int(np.count_nonzero(bits)))
+            if level:
+                ids = np.concatenate([ids[~bits], ids[bits]])
         return cls(planes, zeros, len(ids))
 
     def all(self) -> np.ndarray:
@@ -122,6 +152,26 @@ class WaveletMatrix:
             at = plane.select(1, at - zeros) if value >> shift & 1 else plane.select(0, at)
         return at
 
+    def counts_before(self, value: int, at: np.ndarray) -> np.ndarray:
+        """Occurrences of an id before each of the positions."""
+        if value < 0 or value >> len(self.planes):
+            return np.zeros(len(at), np.int64)
+        start, end = 0, at
+        for k, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
+            a, b = plane.rank1(start), plane.ranks(end)
+            one = value >> (len(self.planes) - 1 - k) & 1
+            start, end = (zeros + a, zeros + b) if one else (start - a, end - b)
+        return end - start
+
+    def places(self, value: int) -> np.ndarray:
+        """Positions of all occurrences of an id, in order."""
+        if value < 0 or value >> len(self.planes):
+            return np.zeros(0, np.int64)
+        at = np.arange(*self._range(value, 0, self.n))
+        for shift, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            at = plane.selects(1, at - zeros) if value >> shift & 1 else plane.selects(0, at)
+        return at
+
     def locate(self, value: int) -> list[int]:
         return [self.select(value, k) for k in range(self.count(value))]
 
@@ -163,50 +213,73 @@ class WaveletFile:
             return WaveletFile(f.read())
 
 
+def encoded(docs: DataFrame, end_id: int = 2, tokenizer: str = WORD_BPE) -> DataFrame:
+    """doc_id and ``ids``: each text's ids and the end id, as little-endian integers of the smallest width."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _width(tokenizer, end_id)
+        for batch in batches:
+            for part in text_slices(batch):
+                flat, n = encoder(tokenizer).flat(part.column("text"))
+                ids = np.insert(flat.astype(kind), np.cumsum(n), end_id)  # one end id after each document
+                offsets = np.concatenate([[0], np.cumsum(n + 1)]) * ids.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), packed], ["doc_id", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids binary")
+
+
+def _width(tokenizer: str, end_id: int) -> str:
+    return "<u2" if max(encoder(tokenizer).size - 1, end_id) < 1 << 16 else "<u4"
+
+
 def write(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str = WORD_BPE, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Encodes and writes all documents; one row for each file: file, n_docs, n_tokens.
 
     ``folder`` is one that all executors reach. File names sort in document order.
+    Texts are encoded where they are read; the range shuffle moves their ids only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         where, path = fs.FileSystem.from_uri(folder)
         where.create_dir(path, recursive=True)
-        ids, counts, doc_ids, made = [], [], [], 0
+        kind = np.dtype(_width(tokenizer, end_id))
         levels = max(1, int(max(encoder(tokenizer).size - 1, end_id)).bit_length())
+        ids, counts, doc_ids, made, held = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal ids, counts, doc_ids, made
+            nonlocal ids, counts, doc_ids, made, held
             name = f"part-{context.partitionId():06d}-{made:06d}.wm"
-            lengths = np.array(counts, np.int64)
+            lengths = np.concatenate(counts)
             data = to_bytes(doc_ids, lengths, np.concatenate(ids), levels)
             draft = f"{path}/.{name}.{context.taskAttemptId()}"
             with where.open_output_stream(draft) as f:
                 f.write(data)
             where.move(draft, f"{path}/{name}")
             row = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(doc_ids)]), pa.array([int(lengths.sum())])], ["file", "n_docs", "n_tokens"])
-            ids, counts, doc_ids, made = [], [], [], made + 1
+            ids, counts, doc_ids, made, held = [], [], [], made + 1, 0
             return row
 
-        held = 0
         for batch in batches:
-            for part in text_slices(batch):
-                flat, n = encoder(tokenizer).flat(part.column("text"))
-                ends = np.cumsum(n)
-                with_end = np.insert(flat.astype(np.uint32), ends, end_id)  # one end id after each document
-                ids.append(with_end)
-                counts.extend((n + 1).tolist())
+            for part in text_slices(batch, "ids", min(BATCH_BYTES, file_tokens * kind.itemsize)):
+                packed = part.column("ids")
+                offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset:packed.offset + len(packed) + 1]
+                flat = np.frombuffer(packed.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind)
+                ids.append(flat.copy())
+                counts.append(np.diff(offsets).astype(np.int64) // kind.itemsize)
                 doc_ids.extend(part.column("doc_id").to_pylist())
-                held += len(with_end)
+                held += len(flat)
                 if held >= file_tokens:
                     yield flush()
-                    held = 0
         if doc_ids:
             yield flush()
+        released()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    rows = saved(encoded(docs, end_id, tokenizer), "encoded")  # the range shuffle reads its input twice
+    tie = F.xxhash64("ids")  # spreads rows of one id, or of none
+    ordered = rows.withColumn("tie", tie).repartitionByRange(F.asc_nulls_first("doc_id"), "tie").sortWithinPartitions(
+        F.asc_nulls_first("doc_id"), "tie", "ids").select("doc_id", "ids")
     return ordered.mapInArrow(run, "file string, n_docs long, n_tokens long")
 
 
@@ -223,8 +296,52 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array([path.rpartition("/")[2]] * len(crc)), pa.array(shard.doc_ids, pa.int64()), pa.array(shard.starts),
                      pa.array(shard.lengths), pa.array(crc, pa.int64())], ["file", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wm").load(folder).select("path", "content")
-    return files.mapInArrow(run, "file string, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return _files(spark, folder).mapInArrow(run, "file string, doc_id long, at long, n_tokens long, ids_crc32 long")
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.wm").load(folder).select("path", "content")
+
+
+def counts(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
+    """(id, n, n_docs): occurrences of stated ids over all shards, and the documents
+    that hold them, by rank on the bit-planes; no shard is unpacked. An id that
+    does not occur has zeros."""
+    wanted = sorted({int(i) for i in ids})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                shard = WaveletFile(content.as_py())
+                ends = np.concatenate([shard.starts, shard.starts[-1:] + shard.lengths[-1:]])
+                found = [np.diff(shard.matrix.counts_before(value, ends)) for value in wanted]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(wanted, pa.int64()), pa.array([int(f.sum()) for f in found], pa.int64()),
+                     pa.array([int((f > 0).sum()) for f in found], pa.int64())], ["id", "n", "n_docs"])
+
+    every = spark.createDataFrame([(i, 0, 0) for i in wanted], "id long, n long, n_docs long")
+    found = _files(spark, folder).mapInArrow(run, "id long, n long, n_docs long")
+    return every.unionByName(found).groupBy("id").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+
+
+def located(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
+    """(id, doc_id, place, file): every occurrence of stated ids, its place in its
+    document, by select on the bit-planes, all occurrences of a shard at once."""
+    wanted = sorted({int(i) for i in ids})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                shard = WaveletFile(content.as_py())
+                doc_ids = pa.array(shard.doc_ids, pa.int64())
+                for value in wanted:
+                    at = shard.matrix.places(value)
+                    doc = np.searchsorted(shard.starts, at, side="right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([value] * len(at), pa.int64()), doc_ids.take(pa.array(doc)), pa.array(at - shard.starts[doc]),
+                         pa.array([path.rpartition("/")[2]] * len(at), pa.string())], ["id", "doc_id", "place", "file"])
+
+    return _files(spark, folder).mapInArrow(run, "id long, doc_id long, place long, file string")
 
 
 def written_and_read(docs: DataFrame, end_id: int = 2, tokenizer: str = WORD_BPE) -> DataFrame:
