@@ -12,7 +12,10 @@ identifiers, as their content is the same). Other columns are not read.
 
 Character references are decoded once, by HTML's rules: all named ones, the old
 names also without a semicolon, and numeric ones (what no character has is
-U+FFFD). A no-break space from a reference is a plain space.
+U+FFFD), in the text, the title and the links. A no-break space from a
+reference is a plain space. A tag begins with ``<`` and a letter, ``/``, ``!`` or
+``?``; any other ``<`` is text. Line breaks inside ``pre`` are treated as any
+others. A title or link is cut at no line end: references may bring one in.
 """
 
 from __future__ import annotations
@@ -31,9 +34,10 @@ TEXT_STEPS = (
     (r"(?s)<!--.*?(?:-->|\z)", " "),
     (r"(?is)<title\b.*?(?:</title[^>]*>|\z)", " "),
     (rf"(?i)</?(?:{_BLOCK_TAGS})\b[^>]*>", "\n"),
-    (r"<[^>]*>", ""),
+    (r"<[A-Za-z/!?][^>]*>", ""),  # a < before anything else is text
 )
-SPACE_STEPS = ((r"[ \t\r\x0B\x0C]+", " "), (r" ?\n[ \n]*", "\n"), (r"\A[ \n]+", ""), (r"[ \n]+\z", ""))
+#: Runs of blanks, and blanks about line ends, where there is something to change.
+SPACE_STEPS = ((r"[ \t\r\x0B\x0C]{2,}|[\t\r\x0B\x0C]", " "), (r" \n[ \n]*|\n[ \n]+", "\n"), (r"\A[ \n]+", ""), (r"[ \n]+\z", ""))
 _VALUE = r"(\"[^\"]*\"|'[^']*'|[^\s\"'<>=`][^\s>]*)"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 #: Attribute values with their quotation marks, if any.
@@ -70,6 +74,9 @@ def _named() -> Column:
     return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
 
 
+#: References that most pages have, without their semicolon (a no-break space is written as a plain one).
+_FREQUENT = [(n, html5[f"{n};"].replace("\u00a0", " ")) for n in ("amp", "nbsp", "lt", "gt", "quot", "copy", "middot", "mdash", "ndash", "rsquo", "hellip", "raquo", "laquo")]
+_FREQUENT += [("#39", "'"), ("apos", "'"), ("#160", " ")]
 #: Names that count without a semicolon, longer ones first.
 _OLD = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 #: What the numbers 128 to 159 stand for: windows-1252 where it has a character.
@@ -100,7 +107,13 @@ def _decoded(part: Column) -> Column:
     # eight decimal digits are above the last character
     from_decimal = F.when(F.length(digits) > 7, F.lit("FFFFFFF")).otherwise(F.conv(digits, 10, 16))
     value = F.try_element_at(_named(), name)
+    # frequent ones by comparison; a reference that is not among them is looked up below
+    head = F.substring_index(part, ";", 1)
+    quick = F.when(head == f"&{_FREQUENT[0][0]}", F.lit(_FREQUENT[0][1]))
+    for reference, character in _FREQUENT[1:]:
+        quick = quick.when(head == f"&{reference}", F.lit(character))
     return (F.when(~part.startswith("&"), part)
+            .when(quick.isNotNull() & (F.length(head) < F.length(part)), F.concat(quick, F.substring(part, F.length(head) + 2, F.length(part))))
             .when(part.rlike(rf"\A{decimal}"), instead(decimal, _numbered(from_decimal)))
             .when(part.rlike(rf"\A{hexadecimal}"), instead(hexadecimal, _numbered(begin(rf"\A{hexadecimal}"))))
             .when(value.isNotNull(), instead(r"&[A-Za-z][A-Za-z0-9]*;", value))
@@ -134,8 +147,8 @@ def derivatives(found: DataFrame) -> DataFrame:
     metadata_id = _uuid(F.concat_ws("|", F.lit("metadata"), "record_id"))
     rows = found.withColumns({
         "text": plain_text(F.col("payload")), "conversion_id": conversion_id, "metadata_id": metadata_id,
-        "title": F.regexp_extract("payload", TITLE, 1), "language": _bare(F.regexp_extract("payload", LANGUAGE, 1)),
-        "links": F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), _bare)})
+        "title": unescaped(F.regexp_extract("payload", TITLE, 1)), "language": _bare(F.regexp_extract("payload", LANGUAGE, 1)),
+        "links": F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: unescaped(_bare(x)))})
     fields = F.concat(
         F.lit("title: "), "title", F.lit("\r\nlanguage: "), "language", F.lit("\r\nconversion: <"), "conversion_id", F.lit(">\r\n"),
         F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), ""))
@@ -162,39 +175,77 @@ def serialised(records: DataFrame) -> DataFrame:
     return records.select("page_id", "record_id", F.concat(header, "content", F.lit("\r\n\r\n")).alias("record"))
 
 
-#: The SQL's own table and patterns: seven references, the ampersand last, and double-quoted attributes.
-_SQL_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
-_SQL_LANGUAGE = r"(?i)<html\b[^>]*\blang=\"([^\"]*)\""
-_SQL_LINK = r"(?i)<a\b[^>]*\bhref=\"([^\"]*)\""
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
 def _oracle() -> str:
+    """DuckDB SQL of the same records, written on its own: names are joined from a
+    table, references taken apart at every ampersand, attributes unquoted by pattern."""
     text = "payload"
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    line = lambda s: "chr(10)" if s == "\n" else quote(s)
+    line = lambda s: "chr(10)" if s == "\n" else _quoted(s)
     for pattern, with_ in TEXT_STEPS:
-        text = f"regexp_replace({text}, {quote(pattern)}, {line(with_)}, 'g')"
-    for name, with_ in _SQL_ENTITIES:
-        text = f"replace({text}, {quote(name)}, {quote(with_)})"
-    for pattern, with_ in SPACE_STEPS:
-        text = f"regexp_replace({text}, {quote(pattern)}, {line(with_)}, 'g')"
+        text = f"regexp_replace({text}, {_quoted(pattern)}, {line(with_)}, 'g')"
+    tidy = "decoded"
+    for pattern, with_ in ((r"[ \t\r\x0B\x0C]+", " "), (r" ?\n[ \n]*", "\n"), (r"\A[ \n]+", ""), (r"[ \n]+\z", "")):
+        tidy = f"regexp_replace({tidy}, {_quoted(pattern)}, {line(with_)}, 'g')"
     uuid = lambda k: f"'urn:uuid:' || regexp_replace(md5({k}), '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5')"
     end = "chr(13) || chr(10)"
+    bare = lambda v: f"regexp_replace({v}, '^[\"'']((?s).*)[\"'']$', '\\1')"
+    names = ", ".join(f"({_quoted(n)}, {_quoted(c)})" for n, c in sorted(html5.items()))
+    old = "|".join(sorted((n for n in html5 if n[-1] != ";"), key=len, reverse=True))
+    windows = ", ".join(str(ord(bytes([n]).decode("cp1252", "ignore") or chr(n))) for n in range(128, 160))
     return f"""
-WITH r AS (
-  SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload,
+WITH names(ref, chars) AS (VALUES {names}),
+r AS (
+  SELECT row_number() OVER () AS k, page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload,
          'sha256:' || sha256(coalesce(html, '')) AS source_digest
   FROM pages
 ), i AS (
   SELECT *, {uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || target_uri || '|' || source_digest")} AS rid,
          'HTTP/1.1 200 OK' || {end} || 'Content-Type: text/html; charset=utf-8' || {end} || 'Content-Length: ' || strlen(payload) || {end} AS source_headers
   FROM r
+), encoded AS (
+  SELECT k, 'text' AS what, 0 AS place, {text} AS s FROM i
+  UNION ALL SELECT k, 'title', 0, regexp_extract(payload, {_quoted(TITLE)}, 1) FROM i
+  UNION ALL SELECT k, 'link', unnest(generate_series(1, len(l))), unnest(l)
+  FROM (SELECT k, list_transform(regexp_extract_all(payload, {_quoted(LINK)}, 1), lambda x: {bare("x")}) AS l FROM i)
+), cut AS (
+  SELECT k, what, place, unnest(generate_series(1, len(parts))) AS nth, unnest(parts) AS part
+  FROM (SELECT *, string_split(s, '&') AS parts FROM encoded)
+), seen AS (
+  SELECT *, regexp_extract(part, '^#0*([0-9]+)', 1) AS dec, regexp_extract(part, '^#[xX]0*([0-9A-Fa-f]+)', 1) AS hex,
+         regexp_extract(part, '^[A-Za-z][A-Za-z0-9]*;') AS name, regexp_extract(part, '^(?:{old})') AS bare_name
+  FROM cut
+), number AS (
+  SELECT *, CASE WHEN dec <> '' THEN CASE WHEN length(dec) > 7 THEN 9999999 ELSE try_cast(dec AS BIGINT) END
+                 WHEN hex <> '' THEN CASE WHEN length(hex) > 6 THEN 9999999 ELSE try_cast('0x' || hex AS BIGINT) END END AS code
+  FROM seen
+), known AS (
+  SELECT n.*, a.chars AS of_name, b.chars AS of_bare,
+         CASE WHEN code = 0 OR code > 1114111 OR code BETWEEN 55296 AND 57343 THEN chr(65533)
+              WHEN code BETWEEN 128 AND 159 THEN chr([{windows}][code - 127])
+              WHEN code IS NOT NULL THEN chr(code::INTEGER) END AS of_code
+  FROM number n LEFT JOIN names a ON a.ref = name LEFT JOIN names b ON b.ref = bare_name
+), solved AS (
+  SELECT k, what, place, nth,
+         CASE WHEN nth = 1 THEN part
+              WHEN code IS NOT NULL THEN replace(of_code, chr(160), ' ') || regexp_replace(part, CASE WHEN dec <> '' THEN '^#[0-9]+;?' ELSE '^#[xX][0-9A-Fa-f]+;?' END, '')
+              WHEN of_name IS NOT NULL THEN CASE WHEN of_name = chr(160) THEN ' ' ELSE of_name END || substr(part, length(name) + 1)
+              WHEN of_bare IS NOT NULL THEN CASE WHEN of_bare = chr(160) THEN ' ' ELSE of_bare END || substr(part, length(bare_name) + 1)
+              ELSE '&' || part END AS piece
+  FROM known
+), whole AS (
+  SELECT k, what, place, string_agg(piece, '' ORDER BY nth) AS decoded FROM solved GROUP BY ALL
 ), t AS (
-  SELECT *, {uuid("'conversion|' || rid || '|text/plain'")} AS cid, {uuid("'metadata|' || rid")} AS mid, {text} AS txt FROM i
+  SELECT i.*, {uuid("'conversion|' || rid || '|text/plain'")} AS cid, {uuid("'metadata|' || rid")} AS mid,
+         (SELECT {tidy} FROM whole w WHERE w.k = i.k AND what = 'text') AS txt,
+         (SELECT decoded FROM whole w WHERE w.k = i.k AND what = 'title') AS title,
+         (SELECT string_agg('outlink: ' || decoded || {end}, '' ORDER BY place) FROM whole w WHERE w.k = i.k AND what = 'link') AS links
+  FROM i
 ), f AS (
-  SELECT *, 'title: ' || regexp_extract(payload, {quote(TITLE)}, 1) || {end} || 'language: ' || regexp_extract(payload, {quote(_SQL_LANGUAGE)}, 1) || {end}
-         || 'conversion: <' || cid || '>' || {end}
-         || coalesce(array_to_string(list_transform(regexp_extract_all(payload, {quote(_SQL_LINK)}, 1), lambda x: 'outlink: ' || x || {end}), ''), '') AS fields
+  SELECT *, 'title: ' || title || {end} || 'language: ' || {bare(f"regexp_extract(payload, {_quoted(LANGUAGE)}, 1)")} || {end}
+         || 'conversion: <' || cid || '>' || {end} || coalesce(links, '') AS fields
   FROM t
 ), b AS (
   SELECT page_id, 'metadata' AS record_type, mid AS record_id, rid AS refers_to, target_uri, 'application/warc-fields' AS content_type, source_headers, source_digest, fields AS content FROM f

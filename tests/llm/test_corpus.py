@@ -168,7 +168,7 @@ def test_warc_links_and_nulls(spark):
     ids = {r.page_id: r.record_id for r in found.collect()}
     conversion, metadata = records[1, "conversion"], records[1, "metadata"]
     assert conversion.content == "One two\nthree\ngo" and conversion.refers_to == metadata.refers_to == ids[1]
-    assert conversion.record_id in metadata.content and "outlink: /u" in metadata.content and "title: T &amp; x" in metadata.content
+    assert conversion.record_id in metadata.content and "outlink: /u" in metadata.content and "title: T & x" in metadata.content
     assert conversion.block_digest == "sha256:" + hashlib.sha256(conversion.content.encode()).hexdigest()
     assert conversion.source_digest == "sha256:" + hashlib.sha256(html.encode()).hexdigest() and len(records) == 6
     assert records[2, "conversion"].content == "" and f"Content-Length: {len(html)}" in conversion.source_headers
