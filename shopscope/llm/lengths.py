@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import text_slices
+from shopscope.llm.common import saved, text_slices
 from shopscope.llm.encode import WORD_BPE, encoder
 
 #: Lengths in one block of the two-step suffix sums.
@@ -42,7 +42,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     """From a column ``n_tokens``: for each length its documents and tokens, and
     docs_at_least / tokens_at_least (suffix sums), docs_at_most (for quantiles)
     and truncated_total (tokens left when every document is cut there)."""
-    counted = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # written: it is read twice below, and encoding is what costs
+    counted = saved(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     counted = counted.withColumns({"tokens": F.col("n_tokens") * F.col("n_docs"), "block": F.floor(F.col("n_tokens") / BLOCK)})
     blocks = counted.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
