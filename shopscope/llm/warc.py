@@ -107,13 +107,7 @@ def _decoded(part: Column) -> Column:
     # eight decimal digits are above the last character
     from_decimal = F.when(F.length(digits) > 7, F.lit("FFFFFFF")).otherwise(F.conv(digits, 10, 16))
     value = F.try_element_at(_named(), name)
-    # frequent ones by comparison; a reference that is not among them is looked up below
-    head = F.substring_index(part, ";", 1)
-    quick = F.when(head == f"&{_FREQUENT[0][0]}", F.lit(_FREQUENT[0][1]))
-    for reference, character in _FREQUENT[1:]:
-        quick = quick.when(head == f"&{reference}", F.lit(character))
     return (F.when(~part.startswith("&"), part)
-            .when(quick.isNotNull() & (F.length(head) < F.length(part)), F.concat(quick, F.substring(part, F.length(head) + 2, F.length(part))))
             .when(part.rlike(rf"\A{decimal}"), instead(decimal, _numbered(from_decimal)))
             .when(part.rlike(rf"\A{hexadecimal}"), instead(hexadecimal, _numbered(begin(rf"\A{hexadecimal}"))))
             .when(value.isNotNull(), instead(r"&[A-Za-z][A-Za-z0-9]*;", value))
@@ -122,17 +116,24 @@ def _decoded(part: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """``text`` with its character references decoded, each once."""
-    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "(?=&)"), _decoded), "")).otherwise(text)
+    """``text`` with its character references decoded, each once: frequent ones by
+    one look-up among a few, the others by all the rules."""
+    few = F.str_to_map(F.lit("\x01".join(f"&{n}\x02{c}" for n, c in _FREQUENT)), F.lit("\x01"), F.lit("\x02"))
+    parts = F.transform(F.split(text, "(?=&)"), lambda p: F.struct(p.alias("p"), F.substring_index(p, ";", 1).alias("head")))
+    parts = F.transform(parts, lambda x: F.struct(x["p"].alias("p"), x["head"].alias("head"), F.try_element_at(few, x["head"]).alias("v")))
 
+    def solved(x: Column) -> Column:
+        size = F.length(x["head"])
+        quick = x["v"].isNotNull() & (size < F.length(x["p"]))
+        return F.when(quick, F.concat(x["v"], F.substring(x["p"], size + 2, F.length(x["p"])))).otherwise(_decoded(x["p"]))
 
-def plain_text(html: Column) -> Column:
-    for pattern, with_ in TEXT_STEPS:
-        html = F.regexp_replace(html, pattern, with_)
-    html = unescaped(html)
-    for pattern, with_ in SPACE_STEPS:
-        html = F.regexp_replace(html, pattern, with_)
-    return html
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, solved), "")).otherwise(text)
+
+
+def _replaced(text: Column, steps: tuple) -> Column:
+    for pattern, with_ in steps:
+        text = F.regexp_replace(text, pattern, with_)
+    return text
 
 
 def _bare(value: Column) -> Column:
@@ -145,9 +146,12 @@ def derivatives(found: DataFrame) -> DataFrame:
     the conversion's identifier) and ``conversion`` (plain text)."""
     conversion_id = _uuid(F.concat_ws("|", F.lit("conversion"), "record_id", F.lit("text/plain")))
     metadata_id = _uuid(F.concat_ws("|", F.lit("metadata"), "record_id"))
-    rows = found.withColumns({
-        "text": plain_text(F.col("payload")), "conversion_id": conversion_id, "metadata_id": metadata_id,
-        "title": unescaped(F.regexp_extract("payload", TITLE, 1)), "language": _bare(F.regexp_extract("payload", LANGUAGE, 1)),
+    # step by step: what a column is used for more than once is computed once
+    rows = found.withColumns({"text": _replaced(F.col("payload"), TEXT_STEPS), "title": F.regexp_extract("payload", TITLE, 1)})
+    rows = rows.withColumns({"text": unescaped(F.col("text")), "title": unescaped(F.col("title"))})
+    rows = rows.withColumns({
+        "text": _replaced(F.col("text"), SPACE_STEPS), "conversion_id": conversion_id, "metadata_id": metadata_id,
+        "language": _bare(F.regexp_extract("payload", LANGUAGE, 1)),
         "links": F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: unescaped(_bare(x)))})
     fields = F.concat(
         F.lit("title: "), "title", F.lit("\r\nlanguage: "), "language", F.lit("\r\nconversion: <"), "conversion_id", F.lit(">\r\n"),
