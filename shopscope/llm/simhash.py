@@ -7,6 +7,8 @@
    leaf, and visits every other leaf that its ball of ``max_bits`` may reach
    (triangle bound at each node). Of two neighbours on both sides of a node,
    only the nearer-side one visits, so each pair meets once.
+   A leaf with too many residents gets a tree of its own from a bounded sample
+   of them, level by level, until every leaf is a shard.
 3. Inside a shard the same tree goes on over the residents, with all visitors
    carried down together; what is left is compared bit by bit. A shard returns
    a spanning star of each group it sees, never its pairs.
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,12 @@ from shopscope.llm.common import free_name, saved, text_slices
 
 #: Residents aimed at in one shard, and below which a shard compares directly.
 SHARD, DIRECT = 32_768, 192
-#: Fingerprints the top tree is built from; it bounds the tree that tasks receive.
+#: Fingerprints a tree is built from; it bounds the tree that tasks receive.
 SAMPLE = 16_384
+#: Residents in units of SHARD from which a leaf is cut by a tree of its own.
+FULL = 4
+#: Rows of an overfull leaf that one task routes at once.
+CHUNK = 200_000
 #: Pairs a shard holds before it folds them into stars.
 FOLD = 1_000_000
 
@@ -91,8 +98,10 @@ def vantage_tree(sample: np.ndarray, leaves: int) -> list[tuple[int, int, int, i
         if share > 1 and len(part) > 1:
             d = _distance(part, int(part[0]))
             radius = int(np.median(d))
+            if radius == d.max() and d.min() < radius:
+                radius = int(d[d < radius].max())
             inner = d <= radius
-            if inner.any() and not inner.all():
+            if not inner.all():
                 at = len(nodes)
                 nodes.append((0, 0, 0, 0))
                 nodes[at] = (int(part[0]), radius, grow(part[inner], share // 2), grow(part[~inner], share - share // 2))
@@ -104,10 +113,12 @@ def vantage_tree(sample: np.ndarray, leaves: int) -> list[tuple[int, int, int, i
     return nodes
 
 
-def route(fps: np.ndarray, nodes: list[tuple[int, int, int, int]], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Leaf, row and whether it lives there, for each leaf that a fingerprint lives in or visits."""
+def route(fps: np.ndarray, nodes: list[tuple[int, int, int, int]], reach: int,
+          resident: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leaf, row and whether it lives there, for each leaf that a fingerprint lives
+    in or visits. ``resident`` tells who lives under the tree's root (else all)."""
     leaf, row, lives = [], [], []
-    todo = [(0 if nodes else -1, np.arange(len(fps)), np.ones(len(fps), bool))]
+    todo = [(0 if nodes else -1, np.arange(len(fps)), np.ones(len(fps), bool) if resident is None else resident)]
     while todo:
         at, rows, home = todo.pop()
         if not len(rows):
@@ -198,15 +209,57 @@ def near_links(distinct: DataFrame, reach: int = 3) -> DataFrame:
             for k in range(0, batch.num_rows, 20_000):
                 fps = batch.column(0).slice(k, 20_000).to_numpy()
                 leaf, row, lives = route(fps.view(np.uint64), nodes.value, reach)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(fps[row]), pa.array(lives)], ["leaf", "fp", "lives"])
+                yield pa.RecordBatch.from_arrays(
+                    [pc.cast(pa.array(leaf), pa.string()), pa.array(fps[row]), pa.array(lives)], ["leaf", "fp", "lives"])
 
     def meet(table: pa.Table) -> pa.Table:
         fps = table.column("fp").to_numpy()
         on, root = shard_stars(fps.view(np.uint64), table.column("lives").to_numpy(), reach)
         return pa.table({"a": fps[on], "b": fps[root]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    sent = distinct.select("fp").mapInArrow(send, "leaf int, fp long, lives boolean")
-    return sent.groupBy("leaf").applyInArrow(meet, "a long, b long")
+    sent = saved(distinct.select("fp").mapInArrow(send, _ROUTED), "routed")
+    depth = 0
+    while True:
+        sizes = sent.groupBy("leaf").agg(F.count_if("lives").alias("own"), F.count(F.lit(1)).alias("n"))
+        full = saved(sizes.filter(F.col("own") > FULL * SHARD), "overfull")
+        if full.isEmpty():
+            return sent.groupBy("leaf").applyInArrow(meet, "a long, b long")
+        depth += 1
+        sent = saved(_cut(sent, full, reach, depth), "routed")
+
+
+_ROUTED = "leaf string, fp long, lives boolean"
+
+
+def _cut(sent: DataFrame, full: DataFrame, reach: int, depth: int) -> DataFrame:
+    """The routed rows with those of overfull leaves (leaf, own, n) in the leaves
+    of a tree of their own. Each tree comes from about SAMPLE residents, chosen by a
+    hash that differs by level; it meets the leaf's rows in chunks of about CHUNK."""
+    shard, most = SHARD, SAMPLE // 4
+    chunks = F.ceil(F.col("n") / CHUNK)
+    share = F.pmod(F.xxhash64("fp", F.lit(depth)), F.lit(1 << 40)) / float(1 << 40)
+    sample = sent.filter("lives").join(full, "leaf").filter(share * F.col("own") < SAMPLE).select("leaf", "own", "fp")
+
+    def grow(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        fps = np.sort(table.column("fp").to_numpy()).view(np.uint64)
+        leaves = min(math.ceil(table.column("own")[0].as_py() / shard), most)
+        nodes = vantage_tree(np.random.default_rng(depth).permutation(fps), leaves)
+        flat = np.array([(p - (1 << 64) if p >> 63 else p, *rest) for p, *rest in nodes], np.int64)
+        return pa.table({"leaf": pa.array([key[0].as_py()], pa.string()), "tree": pa.array([flat.tobytes()], pa.binary())})
+
+    def go(key: tuple[pa.Scalar, ...], rows: pa.Table, tree: pa.Table) -> pa.Table:
+        flat = np.frombuffer(tree.column("tree")[0].as_py() if tree.num_rows else b"", np.int64).reshape(-1, 4)
+        nodes = [(p & (1 << 64) - 1, *rest) for p, *rest in flat.tolist()]
+        fps = rows.column("fp").to_numpy()
+        leaf, row, lives = route(fps.view(np.uint64), nodes, reach, rows.column("lives").to_numpy())
+        names = pc.binary_join_element_wise(pa.scalar(key[0].as_py()), pc.cast(pa.array(leaf), pa.string()), "/")
+        return pa.table({"leaf": names, "fp": fps[row], "lives": lives})
+
+    trees = sample.groupBy("leaf").applyInArrow(grow, "leaf string, tree binary").join(full, "leaf").select(
+        "leaf", "tree", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
+    rows = sent.join(full, "leaf").select("leaf", "fp", "lives", F.pmod(F.xxhash64("fp"), chunks).alias("chunk"))
+    moved = rows.groupBy("leaf", "chunk").cogroup(trees.groupBy("leaf", "chunk")).applyInArrow(go, _ROUTED)
+    return sent.join(full, "leaf", "left_anti").select("leaf", "fp", "lives").unionByName(moved)
 
 
 def components(links: DataFrame) -> DataFrame:
