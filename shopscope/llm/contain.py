@@ -18,7 +18,10 @@ words themselves.
 
 Words are the maximal runs without ASCII white space, A-Z in lower case. Items
 or documents with fewer words than a shingle have their whole word sequence as
-the only shingle; those without words (null and empty texts) contain nothing
+the only shingle. An item of fewer words than a shingle is contained wherever
+its words stand in a row: for each such word count that occurs among the items
+(fewer than ``width`` of them), documents are cut into runs of that many words
+too. Items or documents without words (null and empty texts) contain nothing
 and are in nothing. Null ids are kept apart from no id: rows are reported under
 their id, null included; repeated rows are reported once. Only id and text
 columns are read.
@@ -42,17 +45,31 @@ TABLE_BITS = 1 << 24
 _BITMAP = 32_768
 
 
+def _runs(words: list[bytes], width: int) -> set[bytes]:
+    return set(map(b" ".join, zip(*(words[i:] for i in range(width)))))
+
+
 def shingles(text: bytes | None, width: int = WIDTH) -> set[bytes]:
     words = (text or b"").lower().split()
     if not words:
         return set()
-    return set(map(b" ".join, zip(*(words[i:] for i in range(width))))) if len(words) >= width else {b" ".join(words)}
+    return _runs(words, width) if len(words) >= width else {b" ".join(words)}
 
 
-def _values(text: bytes | None, width: int) -> np.ndarray:
+def short_runs(text: bytes | None, counts: list[int]) -> set[bytes]:
+    """The runs of as many words as short items have."""
+    words = (text or b"").lower().split() if counts else []
+    return set().union(*(_runs(words, n) for n in counts))
+
+
+def _hashed(grams: set[bytes]) -> np.ndarray:
     import xxhash
 
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g) for g in shingles(text, width)), np.uint64))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), np.uint64))
+
+
+def _values(text: bytes | None, width: int) -> np.ndarray:
+    return _hashed(shingles(text, width))
 
 
 def needed(n: int, threshold: float) -> int:
@@ -61,21 +78,25 @@ def needed(n: int, threshold: float) -> int:
 
 
 def sketches(items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
-    """(item_id, item, n, h): the bottom k(n) hash values of each item."""
+    """(item, n, h, short): the bottom k(n) hash values of each item; ``short`` is
+    its number of words if they are fewer than a shingle's, else 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                key, size, value = [], [], []
+                key, size, value, short = [], [], [], []
                 for item, text in zip(part.column("item").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
                     h = _values(text, width)
                     low = h[:len(h) - needed(len(h), threshold) + 1] if len(h) else h
                     key.extend([item] * len(low))
                     size.extend([len(h)] * len(low))
                     value.extend(low.view(np.int64).tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(size, pa.int64()), pa.array(value, pa.int64())], ["item", "n", "h"])
+                    words = len((text or b"").split())
+                    short.extend([words if words < width else 0] * len(low))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key, pa.string()), *(pa.array(c, pa.int64()) for c in (size, value, short))], ["item", "n", "h", "short"])
 
-    return items.select("item", "text").mapInArrow(run, "item string, n long, h long")
+    return items.select("item", "text").mapInArrow(run, "item string, n long, h long, short long")
 
 
 def bit_table(values: DataFrame) -> np.ndarray:
@@ -101,6 +122,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: fl
     unique = saved(_named(items, "item_id", "item").select("item", "text").distinct(), "items")
     sketch = saved(sketches(unique, width, threshold), "sketches")
     table = spark.sparkContext.broadcast(bit_table(sketch))
+    counts = sorted(r.short for r in sketch.filter("short > 0").select("short").distinct().collect())  # fewer than width
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
@@ -109,11 +131,14 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: fl
                 at, size, values = [], [], []
                 for i, text in enumerate(part.column("text").cast(pa.binary()).to_pylist()):
                     h = _values(text, width).view(np.int64)
+                    n = len(h)
+                    if counts:
+                        h = np.union1d(h, _hashed(short_runs(text, counts)).view(np.int64))
                     bit = h & (TABLE_BITS - 1)
                     hit = h[bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 != 0]
                     if len(hit):
                         at.append(i)
-                        size.append(len(h))
+                        size.append(n)
                         values.append(hit)
                 rows = part.take(pa.array(at, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -133,7 +158,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: fl
             out: list[list] = [[], [], [], []]
             for doc, text, item, words in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "item", "item_text"))):
                 if doc != last:
-                    last, own = doc, shingles(text.encode(), width)
+                    last, own = doc, shingles(text.encode(), width) | short_runs(text.encode(), counts)
                 wanted = shingles(words.encode(), width)
                 shared = len(wanted & own)
                 if wanted and shared >= needed(len(wanted), threshold):

@@ -80,6 +80,41 @@ def test_simhash_links_all_pairs_within_reach():
     assert ((same[:, None] == same[None]) == (want[:, None] == want[None])).all()
 
 
+def _partition(fps, links):
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    groups = {}
+    for f in fps:
+        groups.setdefault(find(f), set()).add(f)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_overfull_leaves_get_trees_of_their_own(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+    flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (3, 500)).astype(np.uint64), axis=0)
+    star = np.uint64(1) << np.arange(64, dtype=np.uint64)  # many at one distance from each other
+    fps = np.unique(np.concatenate([base, base ^ flips, star, np.zeros(1, np.uint64)])).view(np.int64)
+    depths = []
+    cut = simhash._cut
+    monkeypatch.setattr(simhash, "SHARD", 4)
+    monkeypatch.setattr(simhash, "SAMPLE", 32)
+    monkeypatch.setattr(simhash, "CHUNK", 50)
+    monkeypatch.setattr(simhash, "_cut", lambda *a: depths.append(a[-1]) or cut(*a))
+    links = simhash.near_links(spark.createDataFrame([(int(f),) for f in fps], "fp long")).collect()
+    u = fps.view(np.uint64)
+    x, y = np.nonzero(np.bitwise_count(u[:, None] ^ u[None]) <= 3)
+    assert len(depths) > 1
+    assert _partition(fps.tolist(), [(r.a, r.b) for r in links]) == _partition(fps.tolist(), zip(fps[x].tolist(), fps[y].tolist()))
+
+
 def test_simhash_query(odd, empty):
     got = {(r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(odd).collect()}
     blank = "0" * 16
@@ -196,15 +231,23 @@ def test_warc_decodes_all_references_and_reads_all_attribute_forms(spark):
 def test_containment_equals_brute_force(spark, odd, empty):
     item, short = prose(2, 40), "just three words"
     changed = " ".join("zz" if i == 20 else w for i, w in enumerate(prose(2, 60).split()))
-    items = spark.createDataFrame([(1, item), (2, item), (3, short), (4, None), (5, ""), (6, changed)], "item_id long, text string")
-    docs = odd.union(spark.createDataFrame([(50, "Well " + short, None, None, None, None, None, None), (51, short, None, None, None, None, None, None)], SCHEMA))
+    items = spark.createDataFrame([(1, item), (2, item), (3, short), (4, None), (5, ""), (6, changed), (7, "Words")], "item_id long, text string")
+    docs = odd.union(spark.createDataFrame([(50, "Well " + short, None, None, None, None, None, None), (51, short, None, None, None, None, None, None),
+                                            (52, prose(8, 3000) + " JUST three\n words " + prose(9, 30), None, None, None, None, None, None),
+                                            (53, "just three more words5 and wordsmiths", None, None, None, None, None, None)], SCHEMA))
     want = set()
     for d in docs.collect():
         own = contain.shingles((d.text or "").encode())
+        line = " ".join(["", *(d.text or "").lower().split(), ""])
         for i in items.collect():
             s = contain.shingles((i.text or "").encode())
-            if s and len(s & own) >= contain.needed(len(s), 0.8):
+            words = (i.text or "").lower().split()
+            if 0 < len(words) < 5:  # a short item: its words in a row
+                if f" {' '.join(words)} " in line:
+                    want.add((d.doc_id, i.item_id, 1, 1))
+            elif s and len(s & own) >= contain.needed(len(s), 0.8):
                 want.add((d.doc_id, i.item_id, len(s), len(s & own)))
+    assert {(50, 3), (51, 3), (52, 3), (52, 7)} <= {w[:2] for w in want} and not any(w[0] == 53 for w in want)
     got = contain.contained(docs, items)
     assert {tuple(r)[:4] for r in got.collect()} == want and len(want) > 6 and got.count() == len(want)
     assert contain.contained(empty, items).count() == 0 and contain.contained(docs, items.limit(0)).count() == 0
