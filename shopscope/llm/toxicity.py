@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -59,6 +60,8 @@ OPEN, CLOSE = "\"“«„‚‘'", "\"”»“’‘'"
 _EDGE = re.compile(r"^\W+|\W+$")
 #: Words, and trie nodes in automaton states, remembered by a worker before it starts anew.
 REMEMBERED, HELD = 300_000, 2_000_000
+#: The moves of a state that no letter has left yet.
+_NO_MOVES: dict[str, int] = {}
 
 
 def edits_allowed(length: int) -> int:
@@ -66,20 +69,25 @@ def edits_allowed(length: int) -> int:
 
 
 class Lexicon:
-    """Trie of words and stems, intersected with their Levenshtein automata; a stem accepts any ending."""
+    """Trie of words and stems, intersected with their Levenshtein automata; a stem accepts any ending.
 
-    def __init__(self, words: list[str], stems: list[str], harmless: frozenset[str] = frozenset()) -> None:
-        self.words, self.stems, self.harmless = list(words), list(stems), harmless
+    ``like``, a lexicon of the same entries with other harmless words, lends its automata."""
+
+    def __init__(self, words: list[str], stems: list[str], harmless: frozenset[str] = frozenset(), like: Lexicon | None = None) -> None:
+        self.words, self.stems, self.harmless, self._like = list(words), list(stems), harmless, like
         self._restart()
 
     def __getstate__(self):
-        return self.words, self.stems, self.harmless
+        return self.words, self.stems, self.harmless, self._like
 
     def __setstate__(self, state) -> None:
-        self.words, self.stems, self.harmless = state
+        self.words, self.stems, self.harmless, self._like = state
         self._restart()
 
     def _restart(self) -> None:
+        self._seen: dict[str, int] = {}
+        if self._like is not None:
+            return
         self._next: list[dict[str, int]] = [{}]
         self._word: dict[int, int] = {}  # trie node -> letters of the word that ends there
         self._stem: dict[int, int] = {}  # the same of a stem
@@ -96,11 +104,15 @@ class Lexicon:
                 self._most[at] = max(self._most[at], allowed)
             ends[at] = allowed
         self._forget()
-        self._seen: dict[str, int] = {}
+
+    def forget(self) -> None:
+        """Drops what was remembered of words and states; both are made again when needed."""
+        self._seen = {}
+        (self._like or self)._forget()
 
     def _forget(self) -> None:
-        self._states: dict[tuple, int] = {}
-        self._sets: list[tuple] = []
+        self._states: dict[bytes, int] = {}
+        self._sets: list[bytes] = []  # sorted node * 4 + edits, four bytes each
         self._moves: list[dict[str, int]] = []
         self._accepts: list[int] = []
         self._stem_accepts: list[int] = []
@@ -111,20 +123,20 @@ class Lexicon:
         todo = list(active.items())
         while todo:  # a letter of the lexicon word left out
             node, e = todo.pop()
-            if active.get(node) != e:
+            if active.get(node) != e or e >= self._most[node]:
                 continue
             for child in self._next[node].values():
                 if e + 1 <= self._most[child] and e + 1 < active.get(child, 99):
                     active[child] = e + 1
                     todo.append((child, e + 1))
-        key = tuple(sorted(active.items()))
+        key = array("I", sorted(node * 4 + e for node, e in active.items())).tobytes()
         if key not in self._states:
             self._states[key] = len(self._sets)
             self._sets.append(key)
-            self._moves.append({})
-            self._held += len(key)
+            self._moves.append(_NO_MOVES)
+            self._held += len(active)
             for ends, accepts in ((self._word, self._accepts), (self._stem, self._stem_accepts)):
-                accepts.append(min((e for node, e in key if node in ends and e <= ends[node]), default=-1))
+                accepts.append(min((e for node, e in active.items() if node in ends and e <= ends[node]), default=-1))
         return self._states[key]
 
     def _move(self, state: int, c: str) -> int:
@@ -134,17 +146,28 @@ class Lexicon:
             if e <= self._most[node] and e < active.get(node, 99):
                 active[node] = e
 
-        for node, e in self._sets[state]:
+        for packed in memoryview(self._sets[state]).cast("I"):
+            node, e = packed >> 2, packed & 3
+            if e >= self._most[node]:  # no edit is left: the letter itself or nothing
+                if c in self._next[node]:
+                    reach(self._next[node][c], e)
+                continue
             reach(node, e + 1)  # a letter too many
             for letter, child in self._next[node].items():
                 reach(child, e + (letter != c))  # the letter itself, or another in its place
         to = self._state(active) if active else -1
+        if self._moves[state] is _NO_MOVES:
+            self._moves[state] = {}
         self._moves[state][c] = to
         return to
 
     def match(self, word: str) -> tuple[int, int]:
         """Edits to the nearest lexicon word, and from a beginning of the word
         to the nearest stem, each within its allowance; -1 for none."""
+        if self._like is not None:
+            return self._like.match(word)
+        if self._held > HELD:
+            self._forget()
         state, moves, stem = self._start, self._moves, -1
         for c in word:
             to = moves[state].get(c)
@@ -184,8 +207,6 @@ class Lexicon:
         distinct = set(tokens)
         for token in distinct:
             if token not in seen:
-                if self._held > HELD:
-                    self._forget()
                 seen[token] = self.family(token)
         hot = {t: k for t in distinct if (k := seen[t])}
         return [(i, hot[t]) for i, t in enumerate(tokens) if t in hot] if hot else []
@@ -321,13 +342,16 @@ def _lexicons(counts: DataFrame, pos: float, neg: float) -> tuple[Lexicon, list[
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([max(lexicon.match(t)) > 0 for t in batch.column("term").to_pylist()], pa.bool_()))
+        lexicon.forget()
+        released()
 
     # words within the automata that clean rows use, the most used first
     clean = counts.filter(~F.col("stem") & (F.col("neg") > 0) & (F.col("neg") * pos > 0.2 * F.col("pos") * neg))
     harmless = clean.select("term", "neg", "neg0", "neg1").mapInArrow(near, "term string, neg double, neg0 double, neg1 double").orderBy(
         F.desc("neg"), "term").limit(HARMLESS).collect()
     others = [frozenset(r.term for r in harmless if r[f"neg{1 - half}"] > 0) for half in (0, 1)]
-    return Lexicon(words, stems, frozenset(r.term for r in harmless)), [Lexicon(words, stems, o) for o in others]
+    first = Lexicon(words, stems, others[0])
+    return Lexicon(words, stems, frozenset(r.term for r in harmless)), [first, Lexicon(words, stems, others[1], like=first)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -373,6 +397,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
                     x = [features(spelled(t, lexicon), lexicon).tolist() for t, lexicon in texts]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, pa.list_(pa.float64())), part.column("toxic"), part.column("weight")], ["x", "toxic", "weight"])
+        for each in shared.value:
+            each.forget()
+        released()
 
     rows = sample.select("text", "toxic", "weight", _half().alias("half")).mapInArrow(count, "x array<double>, toxic int, weight double")
     # equal rows of counts are one row with their weight: the driver gets at most the bounded sample
