@@ -79,7 +79,7 @@ def likely_few(ids: DataFrame) -> DataFrame:
 def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
     """J-semi: payments whose shop is among ``shops``.
 
-    A left semi join: no id list goes through the driver. With
+    A left semi join (``in_shops``): no id list goes through the driver. With
     ``broadcast_max_rows`` the shop side is counted first and broadcast
     only when it is within that bound (payments are then filtered where
     they are read, without a shuffle); otherwise, or without the bound, the
@@ -94,7 +94,19 @@ def pays_of_shops(pays: DataFrame, shops: DataFrame, broadcast_max_rows: int | N
         ids = F.broadcast(ids)
     else:
         ids = likely_few(ids)
-    return pays.join(ids, on="shop_id", how="left_semi")
+    return in_shops(pays, ids)
+
+
+def in_shops(pays: DataFrame, ids: DataFrame) -> DataFrame:
+    """Payments whose shop_id is among ``ids`` (one column), shop_id first.
+
+    Written as a membership filter, which Catalyst plans as the left semi
+    join: unlike a join, it first moves a filter below the projection that
+    derives payment columns (and below a join under it), so the columns are
+    derived for the chosen payments alone.
+    """
+    rows = pays.filter(F.col("shop_id").isin(ids))
+    return rows.select("shop_id", *(rows[f"`{c}`"] for c in rows.columns if c.lower() != "shop_id"))
 
 
 def exists_gate(pays: DataFrame, shops: DataFrame, category: str = DEFAULT_KEYWORD,

@@ -33,6 +33,7 @@ from shopscope.operators.selection import (
     BROADCAST_MAX_BYTES,
     BROADCAST_MAX_SHOPS,
     broadcast_measures,
+    in_shops,
     likely_few,
     select_shops,
 )
@@ -97,7 +98,7 @@ def selected_day_counts(shops: DataFrame, pays: DataFrame, cities: Iterable[str]
     selected, seen = materialised(chosen, "selected-shops", n=n, bytes=size)
     if broadcast_max_rows is not None and seen["n"] <= broadcast_max_rows and seen["bytes"] <= BROADCAST_MAX_BYTES:
         selected = F.broadcast(selected)
-        return selected, day_counts(pays.join(F.broadcast(selected.select("shop_id")), on="shop_id", how="left_semi"))
+        return selected, day_counts(in_shops(pays, F.broadcast(selected.select("shop_id"))))
     return selected, day_counts(pays).join(likely_few(selected), on="shop_id", how="inner")
 
 

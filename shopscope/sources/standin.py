@@ -69,25 +69,23 @@ def standin_pays(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Orders grouped on their key tell Catalyst that the key is unique, so a
     # query that never reads user_id (every count, score and ranking) has
     # the join removed and scans lineitem alone.
-    # Every payment column is derived on its own side of the join, so the
-    # projection above the join only passes columns through. That lets
-    # Catalyst push a later filter or semi join on shop_id (e.g. the shop
-    # selection) below the join, onto the lineitem scan, before the
-    # lineitem-orders shuffle.
-    time_stamp = F.col("l_shipdate").cast("string")
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.col("l_suppkey").cast("string").alias("shop_id"),
-        time_stamp.alias("time_stamp"),
-        pay_day(time_stamp).alias("day"),
-    )
+    # The join moves the stored columns only; the payment columns are derived
+    # from its rows. A later filter on shop_id (e.g. the shop selection) still
+    # goes below both, onto the lineitem scan, before the lineitem-orders shuffle.
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
     orders = (
         _table(spark, sf_dir, "orders")
         .groupBy("o_orderkey")
-        .agg(F.max("o_custkey").cast("string").alias("user_id"))
+        .agg(F.max("o_custkey").alias("o_custkey"))
     )
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-    return joined.select("user_id", "shop_id", "time_stamp", "day")
+    time_stamp = F.col("l_shipdate").cast("string")
+    return joined.select(
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("l_suppkey").cast("string").alias("shop_id"),
+        time_stamp.alias("time_stamp"),
+        pay_day(time_stamp).alias("day"),
+    )
 
 
 def standin_views(spark: SparkSession, sf_dir: str) -> DataFrame:

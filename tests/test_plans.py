@@ -95,6 +95,31 @@ def test_selection_filters_lineitem_before_the_orders_join(spark):
     assert semi > orders_join        # printed deeper: evaluated first, on the lineitem side
 
 
+def test_payment_columns_are_derived_after_the_selection(spark):
+    from shopscope.operators.selection import BROADCAST_MAX_SHOPS, pays_of_shops, select_shops
+
+    shops, pays, _ = standin_tables(spark, SF_SMALL)
+    chosen = pays_of_shops(pays, select_shops(shops, STANDIN_CITIES, STANDIN_KEYWORD), broadcast_max_rows=BROADCAST_MAX_SHOPS)
+    scores = J.popularity_scores(shops, pays, STANDIN_CITIES, STANDIN_KEYWORD)
+    for df in (chosen, scores):
+        lines = plan_text(df).splitlines()
+        semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
+        day = max(i for i, ln in enumerate(lines) if "regexp_replace" in ln)  # pay_day
+        assert day < semi        # printed higher: evaluated later, for the chosen payments alone
+    assert chosen.columns == ["shop_id", "user_id", "time_stamp", "day"]
+
+
+def test_selection_keeps_all_columns_and_drops_null_shops(spark):
+    from shopscope.operators.selection import pays_of_shops
+
+    pays = spark.createDataFrame([("1", 5, "a"), ("1", 5, "a"), ("2", 6, "b"), (None, 7, "c")], "shop_id string, `x.y` int, day string")
+    shops = spark.createDataFrame([("1",), ("1",), (None,)], "shop_id string")
+    for bound in (100, 0, None):
+        found = pays_of_shops(pays, shops, broadcast_max_rows=bound)
+        assert found.columns == ["shop_id", "x.y", "day"]
+        assert [tuple(r) for r in found.collect()] == [("1", 5, "a")] * 2
+
+
 def test_per_payment_join_broadcasts_checked_shops(spark):
     from shopscope.operators import shop_with_pay_day
 
