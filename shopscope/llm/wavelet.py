@@ -277,9 +277,10 @@ def write(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str = WORD_B
         released()
 
     rows = saved(encoded(docs, end_id, tokenizer), "encoded")  # the range shuffle reads its input twice
-    tie = F.xxhash64("ids")  # spreads rows of one id, or of none
-    ordered = rows.withColumn("tie", tie).repartitionByRange(F.asc_nulls_first("doc_id"), "tie").sortWithinPartitions(
-        F.asc_nulls_first("doc_id"), "tie", "ids").select("doc_id", "ids")
+    # rows of one id, or of none, go by the bytes of their first ids; a hash spreads those that begin alike
+    keys = [F.asc_nulls_first("doc_id"), "head", "tie"]
+    ordered = rows.withColumns({"head": F.substring("ids", 1, 16), "tie": F.xxhash64("ids")}).repartitionByRange(
+        *keys).sortWithinPartitions(*keys, "ids").select("doc_id", "ids")
     return ordered.mapInArrow(run, "file string, n_docs long, n_tokens long")
 
 
