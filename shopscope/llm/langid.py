@@ -25,7 +25,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.common import crc_mod, hash_sample, text_slices, texts_of
+from shopscope.llm.common import crc_mod, hash_sample, ranges, text_slices, texts_of
 
 #: Bound on the training documents of each language (about; by hash).
 PER_LANGUAGE = 160
 #: Hashed features, words in the lexicon, passes over the sample.
 SIZE, LEXICON, PASSES = 1 << 16, 4000, 4
-#: Words of a block, and words remembered by a worker before it starts anew.
+#: Words of a block, and tokens and cores remembered by a worker before it starts anew.
 STEP, REMEMBERED = 96, 300_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -58,6 +57,64 @@ def word_features(token: str, lexicon: frozenset[str]) -> list[int]:
     return [crc(n.encode()) % SIZE for n in names]
 
 
+def core(token: str) -> str:
+    """The token's word in lower case, without the marks and digits around it."""
+    low = token.lower()
+    return low if low.isalpha() else _EDGE.sub("", low)
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC, _NONE = _crc_table(), np.uint32(0xFFFFFFFF)
+
+
+def _fed(crc: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """crc32 registers after the UTF-8 bytes of one more character each."""
+    lead = np.where(chars < 0x80, chars, np.where(chars < 0x800, 0xC0 | chars >> 6, np.where(chars < 0x10000, 0xE0 | chars >> 12, 0xF0 | chars >> 18)))
+    crc = _CRC[(crc ^ lead) & 255] ^ (crc >> 8)
+    for shift, least in ((12, 0x10000), (6, 0x800), (0, 0x80)):  # the bytes that follow
+        on = np.flatnonzero(chars >= least)
+        if len(on):
+            crc[on] = _CRC[(crc[on] ^ (0x80 | chars[on] >> shift & 63)) & 255] ^ (crc[on] >> 8)
+    return crc
+
+
+def features(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_features`` of many cores at once: all numbers in a row, and the count of each core."""
+    lettered = np.fromiter((w.isalpha() or any(map(str.isalpha, w)) for w in words), bool, len(words))
+    size = np.zeros(len(words), np.int64)
+    used = [w for w, some in zip(words, lettered) if some]
+    if not used:
+        return np.zeros(0, np.int64), size
+    known = np.fromiter(map(lexicon.__contains__, used), bool, len(used))
+    n = np.fromiter(map(len, used), np.int64, len(used))
+    size[lettered] = 6 + (n + 1) + n + known  # affixes, pairs and triples of the marked word, itself
+    begin = (np.cumsum(size) - size)[lettered]
+    flat = np.empty(int(size.sum()), np.uint32)
+    chars = np.frombuffer("".join([f"^{w}$" for w in used]).encode("utf-32-le"), np.uint32)
+    start = np.cumsum(n + 2) - (n + 2)  # of the marked words
+    for at, mark in ((0, "p"), (3, "s")):
+        head = _fed(np.full(len(used), _NONE), np.full(len(used), ord(mark), np.uint32))
+        for k in (1, 2, 3):
+            crc = head.copy()
+            for j in range(k):
+                place = np.full(len(used), j) if mark == "p" else n - k + j
+                on = np.flatnonzero((place >= 0) & (place < n))
+                crc[on] = _fed(crc[on], chars[start[on] + 1 + place[on]])
+            flat[begin + at + k - 1] = crc
+    pairs = _fed(_fed(np.full(len(chars) - 1, _NONE), chars[:-1]), chars[1:])
+    triples = _fed(pairs[:-1], chars[2:])
+    flat[ranges(begin + 6, n + 1)] = pairs[ranges(start, n + 1)]
+    flat[ranges(begin + 7 + n, n)] = triples[ranges(start, n)]
+    flat[(begin + 7 + 2 * n)[known]] = [zlib.crc32(f"w{w}".encode()) ^ 0xFFFFFFFF for w, some in zip(used, known) if some]
+    return (~flat & np.uint32(SIZE - 1)).astype(np.int64), size
+
+
 def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct tokens of all texts, the place of every token among them, and each text's number of tokens."""
     lists = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
@@ -129,6 +186,7 @@ class Model:
 
     def __post_init__(self) -> None:
         self._known: dict[str, int] = {}
+        self._used = 0
         self._rows = np.zeros((1024, max(1, len(self.languages))))
         self._letters = np.zeros(1024, bool)
 
@@ -142,19 +200,24 @@ class Model:
     def _emissions(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._known) > REMEMBERED:
             self.__post_init__()
-        new = [t for t in distinct if t not in self._known]
-        if new:
-            found = [word_features(t, self.lexicon) for t in new]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        known = self._known
+        new = [t for t in distinct if t not in known]
+        cores = list(map(core, new))
+        fresh = [c for c in dict.fromkeys(cores) if c not in known]  # a core is a token of the same features
+        at = self._used
+        while at + len(fresh) > len(self._rows):
+            self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+            self._letters = np.concatenate([self._letters, np.zeros_like(self._letters)])
+        for k in range(0, len(fresh), 10_000):
+            part = fresh[k:k + 10_000]
+            flat, size = features(part, self.lexicon)
             sums = np.concatenate([np.zeros((1, self.weights.shape[1])), np.cumsum(self.weights[flat], axis=0, dtype=float)])
-            ends, at = np.cumsum(size), len(self._known)
-            while at + len(new) > len(self._rows):
-                self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-                self._letters = np.concatenate([self._letters, np.zeros_like(self._letters)])
-            self._rows[at:at + len(new)] = sums[ends] - sums[ends - size]
-            self._letters[at:at + len(new)] = size > 0
-            self._known.update(zip(new, range(at, at + len(new))))
+            ends = np.cumsum(size)
+            self._rows[at + k:at + k + len(part)] = sums[ends] - sums[ends - size]
+            self._letters[at + k:at + k + len(part)] = size > 0
+        known.update(zip(fresh, range(at, at + len(fresh))))
+        known.update(zip(new, map(known.__getitem__, cores)))
+        self._used = at + len(fresh)
         place = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
         return self._rows[place], self._letters[place]
 
