@@ -4,9 +4,9 @@ The tokenizer drops white space and never joins characters across it, so a
 text's ids are the ids of its blank-separated chunks in a row. A chunk met
 again takes its ids from a bounded table, which is far cheaper than encoding
 the repeated words of a corpus each time. A new chunk that is a plain Latin
-word, perhaps with one full stop or comma after it, is encoded in lower case
-with other such words in one call (every word ends in a token marked as an
-end); any other chunk is encoded alone. Tests hold the result against
+word, perhaps with ASCII marks after it, is encoded in lower case with other
+such words in one call (every word ends in a token marked as an end), the marks
+once for all words; any other chunk is encoded alone. Tests hold the result against
 ``Tokenizer.encode`` of whole texts.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +34,18 @@ class Encoder:
 
     def __init__(self, name: str = WORD_BPE) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(worker_file(name))
-        self._words = Tokenizer.from_file(worker_file(name))
-        self._words.normalizer = normalizers.Sequence([])
+        self._words, self._ascii = Tokenizer(self._tokenizer.model), Tokenizer(self._tokenizer.model)  # of one model
         self._words.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()  # ByteLevel leaves ASCII letters as they are
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self._ends[i] = token.endswith("</w>")
         self.size = len(self._ends)
-        self._mark = {c: self._tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
         self._forget()
 
     def _forget(self) -> None:
@@ -73,36 +73,42 @@ class Encoder:
         return word.isalpha() and (word.isascii() or max(word) < _COMPOSED and word.lower().isalpha())
 
     def _learn(self, chunks: list[str]) -> None:
-        """New chunks; a plain word followed by a mark is kept as its word, so marks cost nothing."""
-        words, marked, odd = {}, [], []
+        """New chunks; a plain word followed by ASCII marks is kept as its word's ids and
+        the marks' (a run of marks is a piece of its own wherever it stands)."""
+        words = dict.fromkeys(c for c in chunks if c.isascii() and c.isalpha() and c.islower())
+        marked, odd = [], {}
         for c in chunks:
-            core = c[:-1] if c[-1:] in self._mark else c
+            if c in words:
+                continue
+            core = c.rstrip(punctuation)
             if not self._plain(core):
-                odd.append(c)
+                odd[c] = True
             elif (low := core.lower()) == c:
-                words[c] = True
+                words[c] = None
             else:
                 marked.append((c, low, c[len(core):]))
-                if low not in self._known:
-                    words[low] = True
-        new = list(words)
-        for k in range(0, len(new), 5000):
-            part = new[k:k + 5000]
-            ids = np.array(self._words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            last = np.flatnonzero(self._ends[ids])
-            self._add(part, ids, np.diff(last, prepend=-1))
+        for _, low, marks in marked:
+            if low not in self._known:
+                words[low] = None
+            if marks not in self._known:
+                odd[marks] = True
+        for is_ascii, known_as in ((True, self._ascii), (False, self._words)):
+            new = [w for w in words if w.isascii() == is_ascii]
+            for k in range(0, len(new), 5000):
+                part = new[k:k + 5000]
+                ids = np.array(known_as.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+                last = np.flatnonzero(self._ends[ids])
+                self._add(part, ids, np.diff(last, prepend=-1))
         if odd:
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(list(odd), add_special_tokens=False)]
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            self._add(odd, np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts)
-        for mark in ("", *self._mark):  # words in other case, then those before each mark
-            those = [(c, low) for c, low, m in marked if m == mark]
-            place = np.fromiter((self._known[low] for _, low in those), np.int64, len(those))
+            self._add(list(odd), np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts)
+        if marked:
+            both = map(self._known.__getitem__, chain.from_iterable((low, marks) for _, low, marks in marked))
+            place = np.fromiter(both, np.int64, 2 * len(marked))
             counts = self._count[place].astype(np.int64)
-            after = self._mark.get(mark, [])
             ids = self._ids[ranges(self._start[place].astype(np.int64), counts)]
-            ids = np.insert(ids, np.repeat(np.cumsum(counts), len(after)), after * len(those))
-            self._add([c for c, _ in those], ids, counts + len(after))
+            self._add([c for c, _, _ in marked], ids, counts.reshape(-1, 2).sum(axis=1))
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint16) of all texts one after another, and the count of each; null is empty."""

@@ -107,19 +107,21 @@ class WaveletMatrix:
             planes.append(Plane(np.packbits(bits, bitorder="little"), len(ids)))
             zeros.append(len(ids) - int(np.count_nonzero(bits)))
             if level:
-                ids = np.concatenate([ids[~bits], ids[bits]])
+                # by places, as a mask costs far more on random bits
+                ids = np.concatenate([ids.take(np.flatnonzero(~bits)), ids.take(np.flatnonzero(bits))])
         return cls(planes, zeros, len(ids))
 
     def all(self) -> np.ndarray:
         """The whole sequence, from the lowest plane up."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for shift, plane, zeros in zip(range(len(self.planes)), reversed(self.planes), reversed(self.zeros)):
             bits = np.unpackbits(plane.packed, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(ids)
-            up[~bits] = ids[:zeros]
-            up[bits] = ids[zeros:] | np.uint32(1 << shift)
+            up[np.flatnonzero(~bits)] = ids[:zeros]
+            up[np.flatnonzero(bits)] = ids[zeros:] | kind(1 << shift)
             ids = up
-        return ids
+        return ids.astype(np.uint32)
 
     def access(self, i: int) -> int:
         value = 0
