@@ -1,19 +1,19 @@
 """Exact batch encoding with a public word-BPE tokenizer.
 
 The tokenizer drops white space and never joins characters across it, so a
-text's ids are the ids of its blank-separated chunks in a row. A chunk met
-again takes its ids from a bounded table, which is far cheaper than encoding
-the repeated words of a corpus each time. A new chunk that is a plain Latin
-word, perhaps with ASCII marks after it, is encoded in lower case with other
-such words in one call (every word ends in a token marked as an end), the marks
-once for all words; any other chunk is encoded alone. Tests hold the result against
-``Tokenizer.encode`` of whole texts.
+text's ids are the ids of its blank-separated chunks in a row. A batch's distinct
+chunks are taken apart by column operations: a plain Latin word in lower case and the
+ASCII marks after it, or the chunk as it is. A piece met again takes its ids from a
+bounded table, which is far cheaper than encoding the repeated words of a corpus
+each time. New words are encoded in one call (every word ends in a token marked as
+an end), marks once for all words; any other chunk is encoded alone. Tests hold the
+result against ``Tokenizer.encode`` of whole texts.
 """
 
 from __future__ import annotations
 
 import os
-from itertools import chain
+from itertools import chain, repeat
 from string import punctuation
 
 import numpy as np
@@ -25,8 +25,8 @@ from shopscope.llm.common import ranges, worker_file
 WORD_BPE = "word_bpe_49k.json"
 #: Chunks remembered by one worker before its table starts anew.
 REMEMBERED = 600_000
-#: Letters below this are left alone by Unicode's composition (NFC).
-_COMPOSED = "̀"
+#: A word of letters that Unicode's composition (NFC) leaves alone, being below U+0300, and that stay letters in lower case.
+_PLAIN = "^[" + "".join(f"\\x{{{c:x}}}" for c in range(0x300) if chr(c).isalpha() and chr(c).lower().isalpha()) + "]+$"
 
 
 class Encoder:
@@ -55,7 +55,7 @@ class Encoder:
         self._start = np.zeros(1 << 12, np.uint32)
         self._count = np.zeros(1 << 12, np.uint32)
 
-    def _add(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _add(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         first, n, total = len(self._known), len(chunks), len(ids)
         while self._used + total > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
@@ -67,66 +67,66 @@ class Encoder:
         self._count[first:first + n] = counts
         self._used += total
         self._known.update(zip(chunks, range(first, first + n)))
-
-    @staticmethod
-    def _plain(word: str) -> bool:
-        return word.isalpha() and (word.isascii() or max(word) < _COMPOSED and word.lower().isalpha())
-
-    def _learn(self, chunks: list[str]) -> None:
-        """New chunks; a plain word followed by ASCII marks is kept as its word's ids and
-        the marks' (a run of marks is a piece of its own wherever it stands)."""
-        words = dict.fromkeys(c for c in chunks if c.isascii() and c.isalpha() and c.islower())
-        marked, odd = [], {}
-        for c in chunks:
-            if c in words:
-                continue
-            core = c.rstrip(punctuation)
-            if not self._plain(core):
-                odd[c] = True
-            elif (low := core.lower()) == c:
-                words[c] = None
-            else:
-                marked.append((c, low, c[len(core):]))
-        for _, low, marks in marked:
-            if low not in self._known:
-                words[low] = None
-            if marks not in self._known:
-                odd[marks] = True
-        for is_ascii, known_as in ((True, self._ascii), (False, self._words)):
-            new = [w for w in words if w.isascii() == is_ascii]
-            for k in range(0, len(new), 5000):
-                part = new[k:k + 5000]
-                ids = np.array(known_as.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-                last = np.flatnonzero(self._ends[ids])
-                self._add(part, ids, np.diff(last, prepend=-1))
-        if odd:
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(list(odd), add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            self._add(list(odd), np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts)
-        if marked:
-            both = map(self._known.__getitem__, chain.from_iterable((low, marks) for _, low, marks in marked))
-            place = np.fromiter(both, np.int64, 2 * len(marked))
-            counts = self._count[place].astype(np.int64)
-            ids = self._ids[ranges(self._start[place].astype(np.int64), counts)]
-            self._add([c for c, _, _ in marked], ids, counts.reshape(-1, 2).sum(axis=1))
+        return np.arange(first, first + n)
+
+    def _places(self, pieces: pa.Array, plain: np.ndarray) -> np.ndarray:
+        """Places in the table of distinct pieces (plain words or anything else); new ones are encoded."""
+        names = pieces.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self._known.get, names, repeat(-1)), np.int64, len(names))
+        new = place < 0
+        if new.any():
+            is_ascii = pc.string_is_ascii(pieces).to_numpy(zero_copy_only=False)
+            for known_as, chosen in ((self._ascii, new & plain & is_ascii), (self._words, new & plain & ~is_ascii)):
+                every = np.flatnonzero(chosen)
+                for k in range(0, len(every), 5000):
+                    part = [names[i] for i in every[k:k + 5000].tolist()]
+                    ids = np.array(known_as.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+                    last = np.flatnonzero(self._ends[ids])
+                    place[every[k:k + 5000]] = self._add(part, ids, np.diff(last, prepend=-1))
+            every = np.flatnonzero(new & ~plain)
+            if len(every):
+                odd = [names[i] for i in every.tolist()]
+                found = [e.ids for e in self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                place[every] = self._add(odd, np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts)
+        return place
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks in a row, and their counts. A plain word followed by ASCII marks
+        has its word's ids and the marks' (a run of marks is a piece of its own wherever it stands)."""
+        core = pc.ascii_rtrim(chunks, characters=punctuation)
+        is_plain = pc.match_substring_regex(core, _PLAIN)
+        plain = is_plain.to_numpy(zero_copy_only=False)
+        words = pc.if_else(is_plain, pc.utf8_lower(core), chunks).dictionary_encode()
+        of = words.indices.to_numpy()
+        plain_words = np.zeros(len(words.dictionary), bool)
+        plain_words[of] = plain
+        place = np.full((len(chunks), 2), -1)
+        place[:, 0] = self._places(words.dictionary, plain_words)[of]
+        size = np.where(plain, pc.subtract(pc.binary_length(chunks), pc.binary_length(core)).to_numpy(), 0)
+        marked = np.flatnonzero(size)
+        if len(marked):
+            size = size[marked]
+            ends = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset + 1:chunks.offset + 1 + len(chunks)][marked]
+            text = np.frombuffer(chunks.buffers()[2], np.uint8)[ranges(ends - size, size)]
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            marks = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(text)).dictionary_encode()
+            place[marked, 1] = self._places(marks.dictionary, np.zeros(len(marks.dictionary), bool))[marks.indices.to_numpy()]
+        counts = np.where(place < 0, 0, self._count[place]).astype(np.int64)
+        return self._ids[ranges(self._start[place].reshape(-1).astype(np.int64), counts.reshape(-1))], counts.sum(axis=1)
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint16) of all texts one after another, and the count of each; null is empty."""
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._known) > REMEMBERED:
             self._forget()
-        known = self._known
-        new = [c for c in chunks if c not in known]
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        starts, counts = self._start[place].astype(np.int64), self._count[place].astype(np.int64)
+        ids, counts = self._chunks(coded.dictionary)
         where = coded.indices.to_numpy()
+        starts = (np.cumsum(counts) - counts)[where]
         counts = counts[where]
-        ids = self._ids[ranges(starts[where], counts)]
+        ids = ids[ranges(starts, counts)]
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         before = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(before[bounds])
